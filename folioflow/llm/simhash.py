@@ -17,12 +17,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import staged, table, text_slices, words_of
 from .components import connected_components
+from .hashing import xxh64_spans
 
 RADIUS = 3
 SHINGLE = 3
@@ -47,15 +47,15 @@ def _fingerprints(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         return out
     heads = np.repeat(first[:-1][full], n[full]) + (np.arange(n[full].sum()) - np.repeat(np.cumsum(n[full]) - n[full], n[full]))
     tails = np.minimum(heads + SHINGLE - 1, np.repeat(first[1:][full], n[full]) - 1)
-    data, digest = words.tobytes(), xxhash.xxh64_intdigest
-    h = np.fromiter((digest(data[s:e], SEED) for s, e in zip(start[heads].tolist(), end[tails].tolist(), strict=True)), np.uint64, len(heads))
+    h = xxh64_spans(words, start[heads], end[tails] - start[heads], SEED)
     at = np.cumsum(n[full]) - n[full]
-    sums = np.zeros((len(full), 64), np.int64)
-    for lo in range(0, len(h), 1 << 17):  # bits in blocks, so that a very long text costs no more memory
-        hi = min(len(h), lo + (1 << 17))
-        bits = np.unpackbits(h[lo:hi].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        a, b = np.searchsorted(at, lo, "right") - 1, np.searchsorted(at, hi, "left")
-        sums[a:b] += np.add.reduceat(bits, np.maximum(at[a:b], lo) - lo, axis=0, dtype=np.int64)
+    # bit k of each byte is summed in byte lanes, at most 255 hashes to a sum, and the lanes are added up by text
+    cuts = np.union1d(at, np.arange(0, len(h), 255))
+    of = np.searchsorted(cuts, at)
+    sums = np.empty((len(full), 64), np.int64)
+    for k in range(8):
+        lanes = np.add.reduceat((h >> np.uint64(k)) & np.uint64(0x0101010101010101), cuts)
+        sums[:, k::8] = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8), of, axis=0, dtype=np.int64)
     ones = 2 * sums > n[full][:, None]
     out[full] = np.packbits(ones, axis=1, bitorder="little").view("<u8")[:, 0]
     return out
