@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from . import quality
+from .bpe import op3_bpe
 from .mixing import op10_mixing
+from .quality import op2_quality
 from .simhash import op8_simhash
 
-QUERIES = {"op8_simhash": op8_simhash, "op10_mixing": op10_mixing}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {"op2_quality": op2_quality, "op3_bpe": op3_bpe, "op8_simhash": op8_simhash, "op10_mixing": op10_mixing}
+ORACLE_SQL: dict[str, str] = {"op2_quality": quality.oracle()}
