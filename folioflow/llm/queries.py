@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import licenses, quality
 from .bpe import op3_bpe
+from .licenses import op6_licenses
 from .mixing import op10_mixing
 from .quality import op2_quality
 from .simhash import op8_simhash
 
-QUERIES = {"op2_quality": op2_quality, "op3_bpe": op3_bpe, "op8_simhash": op8_simhash, "op10_mixing": op10_mixing}
-ORACLE_SQL: dict[str, str] = {"op2_quality": quality.oracle()}
+QUERIES = {
+    "op2_quality": op2_quality,
+    "op3_bpe": op3_bpe,
+    "op6_licenses": op6_licenses,
+    "op8_simhash": op8_simhash,
+    "op10_mixing": op10_mixing,
+}
+ORACLE_SQL: dict[str, str] = {"op2_quality": quality.oracle(), "op6_licenses": licenses.oracle()}
