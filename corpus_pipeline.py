@@ -7,20 +7,67 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.llm import bpe, pii
 from folioflow.llm.common import staged, table
 from folioflow.llm.mixing import mix
+from folioflow.llm.quality import quality
 from folioflow.llm.simhash import simhash_components
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with a key of the row's content; equal rows share it, ids and sources may be null."""
+    return docs.withColumn("_key", F.xxhash64("doc_id", "source", "text"))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or are depleted of own lines go."""
+    docs = _keyed(docs)
+    rejected = quality(docs, ("_key",)).where("not kept").select("_key").distinct()
+    return docs.join(rejected, "_key", "left_anti").drop("_key")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays: the one with the smallest doc_id; of rows that share it, one."""
-    keep = simhash_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One document of each SimHash component stays, the one with the smallest id; equal rows become one.
+
+    A document without an id goes if its component holds one with an id.
+    """
+    keyed = _keyed(docs)
+    keep = simhash_components(keyed, ("_key",)).where("doc_id <=> component_id").select("_key").distinct()
+    return keyed.join(keep, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; personal data in its text is replaced by its kind, and n_chars follows the text."""
+    d = pii.scan(docs, redacted=True)
+    if "n_chars" in docs.columns:
+        d = d.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long")))
+    return d.select(docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their target weights: a document that is taken k times becomes k rows."""
+    keyed = _keyed(docs)
+    copies = mix(keyed, ("_key",)).where("copies > 0").groupBy("_key").agg(F.sum("copies").alias("_copies"))
+    taken = keyed.dropDuplicates(["_key"]).join(copies, "_key")
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every whole text, and whether decoding them gave the text back."""
+    d = bpe.encoded(docs, bpe.default_tokenizer(), ["doc_id", "lang", "source", "text"])
+    return d.select("doc_id", "lang", "source", "n_tokens", "ids", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("exact"))
 
 
-STAGES: list[tuple[str, Stage]] = [("simhash near-dedup", near_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("simhash near-dedup", near_dedup),
+    ("personal data", personal_data),
+    ("mixing", mixing),
+    ("bpe", tokens),
+]
+#: SimHash components, the random field, hashed sampling and BPE have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

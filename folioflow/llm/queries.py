@@ -6,6 +6,7 @@ from . import licenses, quality
 from .bpe import op3_bpe
 from .licenses import op6_licenses
 from .mixing import op10_mixing
+from .pii import op7_pii
 from .quality import op2_quality
 from .simhash import op8_simhash
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_bpe": op3_bpe,
     "op6_licenses": op6_licenses,
+    "op7_pii": op7_pii,
     "op8_simhash": op8_simhash,
     "op10_mixing": op10_mixing,
 }

@@ -91,14 +91,14 @@ def close_pairs(fps: DataFrame) -> DataFrame:
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def simhash_components(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, fingerprint (hex), component_id.
+def simhash_components(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, `extra`, fingerprint (hex), component_id.
 
     Null texts and texts without words have fingerprint zero and link like any other. Repeated rows stay. component_id
     is null only if no document of the component has an id. Links are found between distinct fingerprints, so copies
-    cost one row each and their pairs are never listed.
+    cost one row each and their pairs are never listed. An empty table gives an empty result.
     """
-    marked = staged(fingerprints(docs.select("doc_id", "text")), "fingerprints")
+    marked = staged(fingerprints(docs.select("doc_id", *extra, "text")), "fingerprints")
     fps = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = connected_components(close_pairs(fps.select("fp")))
     ends = fps.join(roots, fps.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
@@ -106,7 +106,7 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     ids = ends.groupBy("root").agg(F.min("least").alias("component_id"))
     named = ends.join(ids, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return marked.join(named, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
+    return marked.join(named, "fp").select("doc_id", *extra, hexed.alias("fingerprint"), "component_id")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
