@@ -76,19 +76,21 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _around(df: DataFrame, masks: list[int]) -> DataFrame:
-    z: Column = F.col("fp").bitwiseXOR(F.col("mask"))
+    """(z, fp): each fingerprint under its variants. z is folded to 48 bits, which a shuffle stores in less; variants
+    that meet by the fold alone are one in 2**48 and fail the check of the pair."""
+    v: Column = F.col("fp").bitwiseXOR(F.col("mask"))
+    z = v.bitwiseXOR(F.shiftrightunsigned(v, 48)).bitwiseAND((1 << 48) - 1)
     return df.select("fp", F.explode(F.lit(masks)).alias("mask")).select(z.alias("z"), "fp")
 
 
 def close_pairs(fps: DataFrame) -> DataFrame:
     """All pairs (a < b) of the distinct longs in fps.fp that differ in one to three bits, each once."""
-    odd = F.bit_count("fp") % 2 == 1
     near = _around(fps, ONE)
-    far = _around(fps.where(odd), [0, *TWO])
-    left = near.union(far).select("z", F.col("fp").alias("x"))
-    met = left.join(near.select("z", F.col("fp").alias("y")).hint("shuffle_hash"), "z")
-    met = met.where((F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= RADIUS) & (F.col("x") != F.col("y")))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    far = _around(fps.where(F.bit_count("fp") % 2 == 1), [0, *TWO])
+    index = near.select("z", F.col("fp").alias("y")).hint("shuffle_hash")
+    close = (F.bit_count(F.col("fp").bitwiseXOR(F.col("y"))) <= RADIUS) & (F.col("fp") != F.col("y"))
+    met = near.join(index, "z").where(close & (F.col("fp") < F.col("y"))).union(far.join(index, "z").where(close))
+    return met.select(F.least("fp", "y").alias("a"), F.greatest("fp", "y").alias("b")).distinct()
 
 
 def simhash_components(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
