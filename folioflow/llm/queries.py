@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import licenses, quality
 from .bpe import op3_bpe
+from .html import op5_html
 from .langid import op4_langid
 from .licenses import op6_licenses
 from .mixing import op10_mixing
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_bpe": op3_bpe,
     "op4_langid": op4_langid,
+    "op5_html": op5_html,
     "op6_licenses": op6_licenses,
     "op7_pii": op7_pii,
     "op8_simhash": op8_simhash,
