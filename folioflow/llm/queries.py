@@ -11,8 +11,10 @@ from .mixing import op10_mixing
 from .pii import op7_pii
 from .quality import op2_quality
 from .simhash import op8_simhash
+from .vectors import op1_vectors
 
 QUERIES = {
+    "op1_vectors": op1_vectors,
     "op2_quality": op2_quality,
     "op3_bpe": op3_bpe,
     "op4_langid": op4_langid,
