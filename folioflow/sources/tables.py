@@ -148,12 +148,13 @@ def regions_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boxes_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of boxes from order lines."""
-    x = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2")
+    """Pairs of boxes from the first two lines of each order (line numbers repeat in the data)."""
+    first = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", F.row_number().over(first).alias("n")).where("n <= 2")
     k, p, s = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     a = G.box(p % 400, s % 600, p % 400 + 50 + s % 90, s % 600 + 40)
     b = G.box(p % 397, s % 590, p % 397 + 80, s % 590 + 30 + p % 50)
-    return x.select(k.alias("order_key"), F.col("l_linenumber").alias("line"), a.alias("a"), b.alias("b"))
+    return x.select(k.alias("order_key"), F.col("n").alias("line"), a.alias("a"), b.alias("b"))
 
 
 def spans_in(spark: SparkSession, sf_dir: str) -> DataFrame:
