@@ -10,6 +10,7 @@ from .licenses import op6_licenses
 from .mixing import op10_mixing
 from .pii import op7_pii
 from .quality import op2_quality
+from .repeats import op9_repeats
 from .simhash import op8_simhash
 from .vectors import op1_vectors
 
@@ -22,6 +23,7 @@ QUERIES = {
     "op6_licenses": op6_licenses,
     "op7_pii": op7_pii,
     "op8_simhash": op8_simhash,
+    "op9_repeats": op9_repeats,
     "op10_mixing": op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {"op2_quality": quality.oracle(), "op6_licenses": licenses.oracle()}
