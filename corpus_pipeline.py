@@ -16,16 +16,25 @@ from folioflow.llm.simhash import simhash_components
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """docs with a key of the row's content; equal rows share it, ids and sources may be null."""
-    return docs.withColumn("_key", F.xxhash64("doc_id", "source", "text"))
+    key = _free(docs, "_key")
+    return docs.withColumn(key, F.xxhash64("doc_id", "source", "text")), key
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or are depleted of own lines go."""
-    docs = _keyed(docs)
-    rejected = quality(docs, ("_key",)).where("not kept").select("_key").distinct()
-    return docs.join(rejected, "_key", "left_anti").drop("_key")
+    keyed, key = _keyed(docs)
+    rejected = quality(keyed, (key,)).where("not kept").select(key).distinct()
+    return keyed.join(rejected, key, "left_anti").select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +42,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document without an id goes if its component holds one with an id.
     """
-    keyed = _keyed(docs)
-    keep = simhash_components(keyed, ("_key",)).where("doc_id <=> component_id").select("_key").distinct()
-    return keyed.join(keep, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
+    keyed, key = _keyed(docs)
+    keep = simhash_components(keyed, (key,)).where("doc_id <=> component_id").select(key).distinct()
+    return keyed.join(keep, key, "left_semi").dropDuplicates([key]).select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; personal data in its text is replaced by its kind, and n_chars follows the text."""
-    d = pii.scan(docs, redacted=True)
+    names = [c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]  # no column clashes with what the scan adds
+    d = pii.scan(docs.toDF(*names), redacted=True).select(names).toDF(*docs.columns)
     if "n_chars" in docs.columns:
         d = d.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long")))
     return d.select(docs.columns)
@@ -48,10 +58,11 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target weights: a document that is taken k times becomes k rows."""
-    keyed = _keyed(docs)
-    copies = mix(keyed, ("_key",)).where("copies > 0").groupBy("_key").agg(F.sum("copies").alias("_copies"))
-    taken = keyed.dropDuplicates(["_key"]).join(copies, "_key")
-    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+    keyed, key = _keyed(docs)
+    times = _free(docs, "_times")
+    copies = mix(keyed, (key,)).where("copies > 0").groupBy(key).agg(F.sum("copies").alias(times))
+    taken = keyed.dropDuplicates([key]).join(copies, key)
+    return taken.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
