@@ -135,7 +135,7 @@ def transcribe(pages: DataFrame, cache: DataFrame, make_client: Callable[[], Cli
         client = make_client()
         for pdf in frames:
             got = [client.generate(bytes(i), prompt) for i in pdf["image"]]
-            yield pd.DataFrame({"key": pdf["key"], "text": [g[0] for g in got], "input_tokens": [g[1] for g in got], "output_tokens": [g[2] for g in got]})
+            yield pd.DataFrame({"key": list(pdf["key"]), "text": [g[0] for g in got], "input_tokens": [g[1] for g in got], "output_tokens": [g[2] for g in got]})
 
     misses = d.join(known, "key", "left_anti").dropDuplicates(["key"]).select("key", "image")
     fresh = misses.mapInPandas(run, "key string, text string, input_tokens int, output_tokens int")

@@ -41,7 +41,7 @@ def decode_files(spark: SparkSession, path: str, make_decoder: Callable[[], Deco
                     rows = rows or [{"doc_id": doc, "reject_reason": "zero pages"}]
                 except ValueError as e:
                     rows = [{"doc_id": doc, "reject_reason": str(e)}]
-                yield pd.DataFrame(rows).reindex(columns=["doc_id", *names, "reject_reason"])
+                yield pd.DataFrame(rows, dtype=object).reindex(columns=["doc_id", *names, "reject_reason"]).astype(object)
 
     return files.mapInPandas(run, f"doc_id string, {schema}, reject_reason string")
 
