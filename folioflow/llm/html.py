@@ -233,7 +233,7 @@ def _group(pdf: pd.DataFrame) -> pd.DataFrame:
             different.setdefault(h, p)
     common = template(list(different.values()))
     text = [main_text(p, common) for p in pages]
-    return pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": text, "n_chars": [len(t) for t in text]})
+    return pd.DataFrame({"page_id": pdf["page_id"].astype(object), "url": pdf["url"].astype(object), "text": pd.Series(text, dtype=object, index=pdf.index), "n_chars": [len(t) for t in text]})
 
 
 def extract(pages: DataFrame) -> DataFrame:
