@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from folioflow.sources.tables import JUNK_SAMPLE, MARK_SAMPLE
 
 WS = r"[\s\x{b}\x{1c}-\x{1f}\x{85}\p{Z}]"
@@ -354,3 +356,54 @@ select doc_id, page, case when len(cells) < 2 then 'fewer than 2 rows'
     "table_row_groups": _with(*_DOC, SECTIONS, CHUNKS, then="select doc_id, table_id, content, pages, token_count::int as token_count from chunks where type = 'table'"),
     "merged_markdown": _with(*_DOC, then="select doc_id, string_agg(case kind when 'title' then chr(10) || repeat('#', greatest(1, coalesce(level, 1))) || ' ' || content || chr(10) when 'text' then content || chr(10) when 'figure' then chr(10) || '![figure](' || storage_key || ')' || chr(10) else chr(10) || markdown || chr(10) end, '' order by pos) as markdown from paths group by doc_id"),
 }
+
+# --- twins of composed queries ---------------------------------------------------------------------------------------
+
+ITEMS = """
+ritems as (
+  select doc_id, (row_number() over (partition by doc_id order by page, seq) - 1)::int as item, page, type as kind, array_to_string(reasons, '; ') as reason, substr(content, 1, 120) as excerpt, null::varchar as crop_key
+  from reasons where len(reasons) > 0)"""
+SQL["review_items"] = _with(UNITS, _DEFECT, ITEMS, then="select * from ritems")
+SQL["review_report"] = _with(
+    UNITS, _DEFECT, ITEMS,
+    """
+rline as (select *, chr(10) || '- **' || kind || '** — ' || reason || case when excerpt <> '' then chr(10) || '  - excerpt: `' || excerpt || '`' else '' end as line from ritems),
+rpage as (select doc_id, page, count(*) as n, chr(10) || '## Page ' || (page + 1) || chr(10) || string_agg(line, chr(10) order by item) as t from rline group by doc_id, page),
+rdoc as (select doc_id, sum(n)::bigint as n, string_agg(t, chr(10) order by page) as t from rpage group by doc_id)""",
+    then="""
+select d.doc_id, '# Review report — ' || d.doc_id || chr(10) || chr(10) || coalesce(n || ' item(s) need human eyes, grouped by page.' || chr(10) || t || chr(10), 'Nothing flagged. Every extracted item passed its validator.' || chr(10)) as report
+from (select distinct doc_id from units) d left join rdoc using (doc_id)""".strip(),
+)
+
+
+def _side(units: str, mark: str) -> str:
+    """The chunk CTEs over `units` without tables, under names of their own."""
+    names = "items|walk|tops|paths|s1|sections|piece|grp|rows_|tab|made|chunks|tables|leveled"
+    parts = [EMPTY_TABLES, f"leveled as (select * from {units})", WALK, PATHS, SECTIONS, CHUNKS]
+    return re.sub(rf"\b({names})\b", rf"\1_{mark}", ",\n".join(p.strip() for p in parts))
+
+
+_SIG = "select doc_id, type, " + collapse("content") + " as content, pages, needs_review from chunks_"
+SQL["chunk_diff"] = _with(
+    UNITS, FURNITURE, STRIPPED, levels("units", "lev_a"), levels("stripped", "lev_b"), _side("lev_a", "a"), _side("lev_b", "b"),
+    then=f"""
+select side, doc_id, type, content, pages, needs_review, count(*) as n from (
+  select 'a' as side, * from ({_SIG}a except all {_SIG}b) union all select 'b', * from ({_SIG}b except all {_SIG}a)) group by all""".strip(),
+)
+SQL["manifest"] = _with(
+    PROFILES.replace("pages as (", "pages_ as (").replace("from pages p", "from pages_ p").replace("from pages where", "from pages_ where").replace("from pages)", "from pages_)"), ROUTES, *_DOC, SECTIONS, CHUNKS, _DEFECT,
+    """
+mr as (
+  select doc_id, count(*) as page_count, count(*) filter (extractor = 'native') as pages_native, count(*) filter (extractor = 'vlm') as pages_vlm, count(*) filter (extractor = 'drawing') as pages_drawing from routes group by doc_id),
+mu as (select doc_id, count(*) filter (type = 'title') as units_title, count(*) filter (type = 'text') as units_text, count(*) filter (type = 'table') as units_table, count(*) filter (type = 'figure') as units_figure from units group by doc_id),
+mv as (
+  select doc_id, count(*) as vlm_pages, count(*) filter (page % 10 = 3) as vlm_cached, sum(case when page % 10 <> 3 then 100 else 0 end)::bigint as input_tokens, sum(case when page % 10 <> 3 then page % 7 else 0 end)::bigint as output_tokens
+  from (select distinct doc_id, page from units where page % 5 = 3) group by doc_id),
+mc as (select doc_id, count(*) as chunks from chunks group by doc_id),
+mi as (select doc_id, count(*) as review_items from reasons where len(reasons) > 0 group by doc_id)""",
+    then="""
+select doc_id, 'ok' as status, page_count, pages_native, pages_vlm, pages_drawing, coalesce(units_title, 0) as units_title, coalesce(units_text, 0) as units_text, coalesce(units_table, 0) as units_table, coalesce(units_figure, 0) as units_figure,
+  coalesce(vlm_pages, 0) as vlm_pages, coalesce(vlm_cached, 0) as vlm_cached, coalesce(input_tokens, 0) as input_tokens, coalesce(output_tokens, 0) as output_tokens, 0::bigint as tables, coalesce(chunks, 0) as chunks, coalesce(review_items, 0) as review_items,
+  '' as multi_page, '' as tables_review, '' as chunks_review
+from mr left join mu using (doc_id) left join mv using (doc_id) left join mc using (doc_id) left join mi using (doc_id)""".strip(),
+)
