@@ -19,13 +19,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import staged, table
 
 #: Pages of a host are compared in groups of about this many, dealt by a hash, so a large host is many groups.
 GROUP = 64
 #: A class needs so many different pages, and this share of the pages of its group.
 MIN_PAGES = 4
 MIN_SHARE = 0.8
+BROADCAST_HOSTS = 100_000
 
 # Elements of HTML by what they are for, and words in class names.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "object", "xmp"}
@@ -244,10 +245,11 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     d = pages.select("page_id", "url", "html", host.alias("host"))
-    groups = d.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
+    groups = staged(d.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups")), "hosts")
     place = F.pmod(F.xxhash64("page_id", "url"), F.col("groups"))
-    # one row per host; the join is a broadcast only where the planner's size limit allows it
-    d = d.join(groups, "host").withColumn("place", place)
+    # one row per host: broadcast, so that pages are shuffled once, if they are counted to be few
+    few = groups.count() <= BROADCAST_HOSTS
+    d = d.join(F.broadcast(groups) if few else groups, "host").withColumn("place", place)
     types = dict(pages.dtypes)
     schema = f"page_id {types['page_id']}, url string, text string, n_chars long"
     return d.groupBy("host", "place").applyInPandas(_group, schema)
