@@ -45,6 +45,14 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table that `staged` wrote for df; for tables between rounds that nothing reads any more."""
+    spark = df.sparkSession
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        at = spark._jvm.org.apache.hadoop.fs.Path(name)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def text_slices(batch: pa.RecordBatch, column: str, target: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a batch into row ranges of about `target` text bytes; a longer text is one range of its own.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -30,7 +30,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        e = staged(small.distinct(), "small")
+        last, e = e, staged(small.distinct(), "small")
+        discard(last)
+        discard(large)
         now = _signature(e)
         if now == was:
             break
