@@ -100,3 +100,18 @@ def test_queries_agree_with_their_sql(spark, name):
 def test_entry():
     e = importlib.import_module("__spark_entry__")
     assert set(Q.QUERIES) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import dataclasses
+
+    from folioflow.__main__ import configured, main
+
+    inputs = _inputs(spark)
+    for f in dataclasses.fields(inputs):
+        getattr(inputs, f.name).write.parquet(str(tmp_path / "in" / f.name))
+    main([str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--set", "chunking.size_tokens=64"])
+    assert "'doc_id': 'd'" in capsys.readouterr().out
+    assert configured(["chunking.size_tokens=64"]).chunking.size_tokens == 64
+    with pytest.raises(SystemExit):
+        configured(["chunking.size_tokens=many"])
