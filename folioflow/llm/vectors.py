@@ -5,7 +5,8 @@ linked to its near neighbours, thinned by the robust-pruning rule, and linked ba
 got in its shards are united. A search starts from the medoids of a shard (and from the vector itself where the shard
 holds it), walks greedily to the best it can find, and from every vector in range goes on along the graph until nothing
 new is in range. Pairs are checked in double precision. A pair is counted in the shard that is the second one's home,
-so nothing is counted twice and no list of pairs is made; for components each shard sends one link per vector.
+and for both of its vectors there if the second one is not searched for in the first one's home, so nothing is counted twice
+and no list of pairs is made; for components each shard sends one link per vector.
 """
 
 from __future__ import annotations
@@ -28,7 +29,10 @@ MOST_CENTRES = 4096
 #: Centres are fitted on at most so many vectors, chosen by hash.
 SAMPLE = 20_000
 OVERLAP = 3  # shards that hold a vector
-PROBES = 6  # shards that are searched for a vector
+PROBES = 6  # shards that are searched for a vector at least
+#: Share of pairs at the limit of which one vector is searched for in the other's home; the probes are chosen for it.
+ROUTED = 0.99
+TRIALS = 2000
 DEGREE = 24
 CANDIDATES = 64
 ALPHA = 1.2
@@ -36,7 +40,7 @@ ALPHA = 1.2
 BLOCK = 4000
 BEAM = 24
 MEDOIDS = 32
-AUDIT = 512
+AUDIT = 4096  # audited vectors that are compared in one pass
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -66,6 +70,29 @@ def fit_centres(x: np.ndarray, k: int, seed: int = 11, rounds: int = 8) -> np.nd
     return c
 
 
+def probe_gap(x: np.ndarray, centres: np.ndarray, cosine: float, seed: int = 13) -> float:
+    """How far below its nearest centre's cosine a vector's other centres are still to be searched.
+
+    Partners at exactly `cosine` are made for vectors of x, in any direction and towards other vectors of x. The gap is the
+    least by which ROUTED of either kind meet: one of the two is searched for in the other's home.
+    """
+    if len(centres) < 2:
+        return 0.0
+    rng = np.random.default_rng(seed)
+    q = x[rng.choice(len(x), min(TRIALS, len(x)), replace=False)]
+    gaps = []
+    for way in (rng.normal(size=q.shape), x[rng.choice(len(x), len(q))]):
+        way = way - (way * q).sum(1, keepdims=True) * q
+        u = unit(cosine * q + (1 - cosine**2) ** 0.5 * way / np.maximum(np.linalg.norm(way, axis=1, keepdims=True), 1e-9))
+        need = np.empty(len(q))
+        for lo in range(0, len(q), 1024):
+            a, b = q[lo : lo + 1024] @ centres.T, u[lo : lo + 1024] @ centres.T
+            rows = np.arange(len(a))
+            need[lo : lo + 1024] = np.minimum(a.max(1) - a[rows, b.argmax(1)], b.max(1) - b[rows, a.argmax(1)])
+        gaps.append(np.quantile(need, ROUTED, method="higher"))
+    return float(max(gaps))
+
+
 def robust_graph(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> list[np.ndarray]:
     """Neighbour lists over the rows of x (unit vectors, float32).
 
@@ -230,6 +257,10 @@ def _search(dims: int, cosine: float):
         block = max(16, min(512, (1 << 22) // len(x)))
         out_k, out_n, edges_a, edges_b = [], [], [], []
         at = np.searchsorted(qkey, key)
+        shard, q_home, q_copies = pdf["shard"].iloc[0], np.array([p[0] for p in pdf["probes"]]), pdf["copies"].to_numpy()
+        probes = np.full((len(key), max(map(len, inside["probes"]))), -1, np.int64)
+        for i, p in enumerate(inside["probes"]):
+            probes[i, : len(p)] = p
         for lo in range(0, len(q), block):
             a, u = range_search(x32, lists, entry, q[lo : lo + block].astype(np.float32), own[lo : lo + block], cosine)
             ok = home[u] & (own[lo : lo + block][a] != u)
@@ -241,8 +272,13 @@ def _search(dims: int, cosine: float):
                 edges_b.append(at[u[s][good]])
                 out_k.append(edges_a[-1])
                 out_n.append(copies[u[s][good]])
+                away = np.flatnonzero(q_home[edges_a[-1]] != shard)
+                one, other = edges_a[-1][away], u[s][good][away]
+                unseen = (probes[other] != q_home[one][:, None]).all(1)
+                out_k.append(at[other[unseen]])
+                out_n.append(q_copies[one[unseen]])
         a, b = (np.concatenate(e) if e else np.zeros(0, np.int64) for e in (edges_a, edges_b))
-        links = np.bincount(a, weights=np.concatenate(out_n) if out_n else None, minlength=len(q)).astype(np.int64)
+        links = np.bincount(np.concatenate(out_k), weights=np.concatenate(out_n), minlength=len(q)).astype(np.int64) if out_k else np.zeros(len(q), np.int64)
         root = _find(np.arange(len(q)), a, b)
         some = np.flatnonzero((links > 0) | (root != np.arange(len(q))))
         return pd.DataFrame({"key": qkey[some], "links": links[some], "root": qkey[root[some]]})
@@ -273,20 +309,25 @@ def _prepared(df: DataFrame) -> DataFrame:
     return d.withColumn("key", F.when(F.col("vec").isNotNull(), F.xxhash64("vec")))
 
 
-def _shards(reps: DataFrame, dims: int, centres: np.ndarray) -> DataFrame:
-    """(key, vec, copies, shard, home, member): the shards of each vector, nearest first."""
+def _shards(reps: DataFrame, dims: int, centres: np.ndarray, gap: float) -> DataFrame:
+    """(key, vec, copies, shard, home, member, probes): the shards of each vector; probes has them all, nearest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = _matrix(batch.column("vec").to_pylist(), dims)
-            probes = min(PROBES, len(centres))
-            near = np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, :probes] if len(x) else np.zeros((0, probes), np.int64)
-            take = pa.array(np.repeat(np.arange(len(x)), probes))
-            rank = np.tile(np.arange(probes), len(x))
-            cols = [batch.column(c).take(take) for c in ("key", "vec", "copies")]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(near.ravel().astype(np.int32)), pa.array(rank == 0), pa.array(rank < OVERLAP)], ["key", "vec", "copies", "shard", "home", "member"])
-
-    return reps.select("key", "vec", "copies").mapInArrow(run, "key long, vec binary, copies long, shard int, home boolean, member boolean")
+        least = min(max(PROBES, OVERLAP), len(centres))
+        for whole in batches:
+            for lo in range(0, len(whole), 1024):
+                batch = whole.slice(lo, 1024)
+                sims = _matrix(batch.column("vec").to_pylist(), dims) @ centres.T
+                order = np.argsort(-sims, axis=1, kind="stable")
+                count = np.maximum(least, (sims >= sims.max(1, keepdims=True) - gap).sum(1))
+                take = np.repeat(np.arange(len(sims)), count)
+                rank = np.arange(len(take)) - np.repeat(np.cumsum(count) - count, count)
+                cols = [batch.column(c).take(pa.array(take)) for c in ("key", "vec", "copies")]
+                shard = order[take, rank].astype(np.int32)
+                probes = pa.array(np.split(shard, np.cumsum(count)[:-1]), pa.list_(pa.int32())).take(pa.array(take))
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(shard), pa.array(rank == 0), pa.array(rank < OVERLAP), probes], ["key", "vec", "copies", "shard", "home", "member", "probes"])
+
+    return reps.select("key", "vec", "copies").mapInArrow(run, "key long, vec binary, copies long, shard int, home boolean, member boolean, probes array<int>")
 
 
 def _links(reps: DataFrame, dims: int, count: int, cosine: float) -> DataFrame:
@@ -296,7 +337,8 @@ def _links(reps: DataFrame, dims: int, count: int, cosine: float) -> DataFrame:
     x = _matrix([bytes(r.vec) for r in some.orderBy("key").select("vec").collect()], dims)
     if not len(x):
         x = _matrix([bytes(reps.select("vec").first().vec)], dims)
-    d = staged(_shards(reps, dims, fit_centres(x, k)), "shards")
+    centres = fit_centres(x, k)
+    d = staged(_shards(reps, dims, centres, probe_gap(x, centres, cosine)), "shards")
     blocks = d.where("member").groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     d = d.join(blocks, "shard")
     home_block = F.pmod(F.xxhash64(F.col("key"), F.lit(1)), F.col("blocks")).cast("int")
@@ -304,31 +346,42 @@ def _links(reps: DataFrame, dims: int, count: int, cosine: float) -> DataFrame:
     graph = members.groupBy("shard", "block").applyInPandas(_build(dims), "key long, near array<long>")
     graph = graph.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     graph = staged(graph, "graph")
-    inside = members.join(graph, "key", "left").select("key", "vec", "copies", "shard", "block", "home", "member", "near")
+    inside = members.join(graph, "key", "left").select("key", "vec", "copies", "shard", "block", "home", "member", "near", "probes")
     asks = d.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).where(~F.col("member") | (F.col("block") != home_block))
     none = F.lit(None).cast("array<long>")
-    asks = asks.select("key", "vec", "copies", "shard", "block", F.lit(False).alias("home"), F.lit(False).alias("member"), none.alias("near"))
+    asks = asks.select("key", "vec", "copies", "shard", "block", F.lit(False).alias("home"), F.lit(False).alias("member"), none.alias("near"), "probes")
     return inside.unionByName(asks).groupBy("shard", "block").applyInPandas(_search(dims, cosine), "key long, links long, root long")
 
 
 def _audit(reps: DataFrame, rows: DataFrame, dims: int, cosine: float) -> DataFrame:
-    """(key, audit_links): links counted by comparing a bounded set of queries with all vectors."""
-    asked = rows.where(F.col("vec_id") % 50 == 0).where(F.col("dims") == dims).select("key", "vec").distinct().orderBy(F.xxhash64("key")).limit(AUDIT).collect()
-    keys = np.array([r.key for r in asked], np.int64)
-    q = _matrix([bytes(r.vec) for r in asked], dims)
-
+    """(key, audit_links): links of the ids divisible by 50, counted by comparing them with all vectors, a block of them in a pass."""
+    asked = rows.where(F.col("vec_id") % 50 == 0).where(F.col("dims") == dims).select("key", "vec").distinct()
+    asked = staged(asked, "asked")
+    blocks = max(1, -(-asked.count() // AUDIT))
+    block = F.pmod(F.xxhash64(F.col("key"), F.lit(2)), F.lit(blocks))
+    found = None
+    for b in range(blocks):
+        some = asked.where(block == b).collect()
+        keys = np.array([r.key for r in some], np.int64)
+        one = staged(reps.select("key", "vec", "copies").mapInArrow(_compare(keys, _matrix([bytes(r.vec) for r in some], dims), dims, cosine), "key long, n long"), "audit")
+        found = one if found is None else found.union(one)
+    found = found.groupBy("key").agg(F.sum("n").alias("n"))
+    return asked.select("key").join(found, "key", "left").select("key", F.coalesce("n", F.lit(0)).alias("audit_links"))
+
+
+def _compare(keys: np.ndarray, q: np.ndarray, dims: int, cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(keys), np.int64)
         for batch in batches:
             key, copies = batch.column("key").to_numpy(), batch.column("copies").to_numpy()
             x = _matrix(batch.column("vec").to_pylist(), dims)
-            for lo in range(0, len(x), 4096):
-                near = (q @ x[lo : lo + 4096].T >= cosine) & (keys[:, None] != key[lo : lo + 4096])
-                total += near @ copies[lo : lo + 4096]
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total)], ["key", "n"])
+            for lo in range(0, len(x), 1024):
+                near = (q @ x[lo : lo + 1024].T >= cosine) & (keys[:, None] != key[lo : lo + 1024])
+                total += near @ copies[lo : lo + 1024]
+        some = total > 0
+        yield pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(total[some])], ["key", "n"])
 
-    found = reps.select("key", "vec", "copies").mapInArrow(run, "key long, n long")
-    return found.groupBy("key").agg(F.sum("n").alias("audit_links"))
+    return run
 
 
 def near_vectors(df: DataFrame, cosine: float = COSINE, audit: bool = True) -> DataFrame:
@@ -336,7 +389,7 @@ def near_vectors(df: DataFrame, cosine: float = COSINE, audit: bool = True) -> D
 
     Vectors that are null, empty, zero or hold null or non-finite components have no links. Vectors of different length
     never link. Equal vectors (also rows that repeat an id) are one node of the graph with a number of copies, and are
-    linked to each other. audit_links is the brute-force count for a bounded set of the ids divisible by 50, else null;
+    linked to each other. audit_links is the brute-force count for the ids divisible by 50, else null;
     `recall` compares the two. An id that is null is kept only if its component has no other. Empty tables give no rows.
     """
     rows = staged(_prepared(df), "vectors")

@@ -144,6 +144,22 @@ def test_vectors(spark):
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_vectors_over_hundreds_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SHARD", 5)  # 320 centres, as in large tables fitted on few of the vectors
+    monkeypatch.setattr(vectors, "SAMPLE", 400)
+    monkeypatch.setattr(vectors, "AUDIT", 16)  # several blocks
+    rng = np.random.default_rng(5)
+    q = vectors.unit(rng.normal(size=(800, 64)))
+    w = rng.normal(size=q.shape)
+    w = vectors.unit(w - (w * q).sum(1, keepdims=True) * q)
+    x = np.concatenate([q, 0.901 * q + (1 - 0.901**2) ** 0.5 * w])
+    got = vectors.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    want = (vectors.unit(x) @ vectors.unit(x).T >= 0.9).sum(1) - 1
+    assert len(got) == 1600 and all(r.n_links <= want[r.vec_id] for r in got)
+    assert sum(r.n_links for r in got) >= 0.95 * want.sum() > 1200
+    assert {r.vec_id: r.audit_links for r in got if r.audit_links is not None} == {i: want[i] for i in range(0, 1600, 50)}
+
+
 def test_pipeline_stages(spark, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
         d = docs
