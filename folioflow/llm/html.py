@@ -212,13 +212,15 @@ def _repeats(places: list[list[int]], count: int) -> bool:
 
 
 def main_text(page: list[Token], common: set[tuple]) -> str:
-    """The slots of a page that are article. Where a page marks an article, paragraphs in it are never template."""
+    """The slots of a page that are article. Paragraphs of a marked article are template too where it has others of its own;
+    an article that is template as a whole is a copy, and its paragraphs stay."""
     marked = any(t.main and t.text is not None and not t.aside for t in page)
+    own = any(t.main and t.prose and t.text is not None and not t.aside and t.key not in common for t in page)
     kept = []
     for t in page:
         if t.text is None or t.aside or (marked and not t.main):
             continue
-        if t.key in common and not (t.main and t.prose) and len(t.text.split()) <= 40:
+        if t.key in common and (own if t.main and t.prose else len(t.text.split()) <= 40):
             continue
         if t.linked and not t.main and len(t.text.split()) <= 12:
             continue

@@ -111,6 +111,13 @@ def test_html_keeps_articles_that_are_copies(spark):
     assert {r.text for r in got} == {"Same One text for all of them."}
 
 
+def test_html_drops_template_paragraphs_inside_articles(spark):
+    long = " ".join(f"term{k}" for k in range(60))
+    rows = [(i, "http://h/", f"<article><h1>Title {i}</h1><p>Text {i}.</p><ul><li>Tell your friends.</li></ul><p>{long}</p></article>") for i in range(8)]
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"Title {i} Text {i}." for i in range(8)}
+
+
 def test_licenses(spark, odd_docs, no_docs):
     mit = licenses.TEMPLATES[3][1]
     cut = mit.replace("including without limitation", "including, but without any limitation,").replace("sublicense", "")
