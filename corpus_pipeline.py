@@ -11,7 +11,7 @@ from folioflow.llm import bpe, pii
 from folioflow.llm.common import staged, table
 from folioflow.llm.mixing import mix
 from folioflow.llm.quality import quality
-from folioflow.llm.simhash import simhash_components
+from folioflow.llm.simhash import rooted
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -40,10 +40,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays, the one with the smallest id; equal rows become one.
 
-    A document without an id goes if its component holds one with an id.
+    A document without an id goes if its component holds one with an id. Among equal ids, or none, the key decides.
     """
     keyed, key = _keyed(docs)
-    keep = simhash_components(keyed, (key,)).where("doc_id <=> component_id").select(key).distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(key).alias("key"))
+    keep = rooted(keyed, (key,)).groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.key").alias(key))
     return keyed.join(keep, key, "left_semi").dropDuplicates([key]).select(docs.columns)
 
 

@@ -100,15 +100,20 @@ def simhash_components(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFram
     is null only if no document of the component has an id. Links are found between distinct fingerprints, so copies
     cost one row each and their pairs are never listed. An empty table gives an empty result.
     """
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return rooted(docs, extra).select("doc_id", *extra, hexed.alias("fingerprint"), "component_id")
+
+
+def rooted(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, `extra`, fp, root, component_id): root names the component also where ids are null or not unique."""
     marked = staged(fingerprints(docs.select("doc_id", *extra, "text")), "fingerprints")
     fps = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = connected_components(close_pairs(fps.select("fp")))
     ends = fps.join(roots, fps.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ends = staged(ends, "roots")
     ids = ends.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = ends.join(ids, "root").select("fp", "component_id")
-    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return marked.join(named, "fp").select("doc_id", *extra, hexed.alias("fingerprint"), "component_id")
+    named = ends.join(ids, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", *extra, "fp", "root", "component_id")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

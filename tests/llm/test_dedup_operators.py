@@ -191,6 +191,15 @@ def test_pipeline_decisions(spark):
     assert all(r.exact and r.n_tokens == len(r.ids.split(",")) for r in t.collect())
 
 
+def test_near_dedup_keeps_one_where_ids_are_null_or_shared(spark):
+    random.seed(12)
+    a, b, c = (" ".join(random.choice("abcdefghij") + str(random.randint(0, 400)) for _ in range(200)) for _ in range(3))
+    rows = [(None, a, "s"), (None, a, "t"), (7, b, "s"), (7, b, "t"), (None, b, "u"), (7, c, "s")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == {(None, a): 1, (7, b): 1, (7, c): 1}
+
+
 @pytest.mark.parametrize("name", ["op2_quality", "op6_licenses"])
 def test_queries_agree_with_their_sql(spark, name):
     import duckdb
