@@ -118,6 +118,62 @@ def test_html_drops_template_paragraphs_inside_articles(spark):
     assert {r.page_id: r.text for r in got} == {i: f"Title {i} Text {i}." for i in range(8)}
 
 
+def _plain(i, host):
+    """Pages of two layouts without a telling name: menu, advert and foot differ from page to page, too."""
+    own = " ".join(f"w{i}x{k}" for k in range(40 + i))
+    if i % 3 == 2:
+        return f"<body><div class=q><a href=/>Go {i}</a></div><table class=t{host}><tr><td><h2>Head {i}</h2><p>{own}</table><div class=z>Foot {i % 4} here</div>"
+    return f"<body><div class=q><a href=/>Go {i}</a></div><div class=r>Buy thing {i % 5} now</div><div class=s><h1>Title {i}</h1><p>{own}<p>Second {i}.<p>Like what you read? Tell others.</div><div class=z>Foot {i % 4} here</div></body>"
+
+
+def test_html_finds_the_article_by_classes_alone(spark, monkeypatch):
+    rows = [(100 * h + i, f"http://h{h}/{i}", _plain(i, h)) for h in range(3) for i in range(24)]
+    pages = spark.createDataFrame(rows * 2, "page_id long, url string, html string").withColumns({"host": F.lit("clash"), "page": F.lit(1), "keys": F.lit(2), "groups": F.lit(3)})
+    for name in ("ASIDE", "ASIDE_ROLES", "ASIDE_WORDS"):
+        monkeypatch.setattr(html, name, set())
+    want = {}
+    for k, _, _ in rows:
+        i, own = k % 100, " ".join(f"w{k % 100}x{j}" for j in range(40 + k % 100))
+        want[k] = f"Head {i} {own}" if i % 3 == 2 else f"Title {i} {own} Second {i}."
+    first = html.extract(pages).collect()
+    assert len(first) == 144 and all(r.deduced and r.text == want[r.page_id] for r in first)
+    # without a template there is no article, and names alone give another text for every page
+    none = html.Template(frozenset(), frozenset())
+    assert all(html.main_text(html.parse(h), none) is None and html.by_names(html.parse(h)) != want[k] for k, _, h in rows)
+    monkeypatch.setattr(html, "BROADCAST_TOKENS", 0)
+    monkeypatch.setattr(html, "SALT_PAGES", 5)
+    assert Counter(map(tuple, html.extract(pages).collect())) == Counter(map(tuple, first))
+
+
+def test_html_classes_against_brute_force(spark):
+    pages = {(f"h{h}", i): html.parse(_plain(i, h)) for h in range(2) for i in range(20)}
+    rows = [(f"http://h{h}/", _plain(i, h)) for h in range(2) for i in range(20)]
+    tokens = html.page_tokens(spark.createDataFrame(rows, "url string, html string"))
+    got = {}
+    for r in html.classes(tokens).collect():
+        got.setdefault((r.host, tuple(r.vector)), set()).add(r.token % 2**64)
+    want = {}
+    for host in ("h0", "h1"):
+        vectors = {}
+        for i in range(20):
+            for k, n in Counter(pages[host, i].keys).items():
+                vectors.setdefault(k, {})[i] = n
+        tagged = {tuple(sorted(v.items())) for k, v in vectors.items() if not k & html.TEXT}
+        for k, v in vectors.items():
+            vector = tuple(sorted(v.items()))
+            constant = len(v) >= html.CONSTANT_PAGES and (vector in tagged or len(v) >= html.CONSTANT_SHARE * 20)
+            if len(v) >= max(2, html.LAYOUT * 20) and (constant if k & html.TEXT else True):
+                want.setdefault((host, vector), set()).add(k)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and len(want) > 4
+
+
+def test_html_odd_pages(spark):
+    long = "<p>" + " ".join(f"w{k}" for k in range(60_000))
+    rows = [(1, "http://h/", long), (1, "http://h/", long), (2, None, "<a><div>one</div></a>two <b><p>three</b> four"), (None, None, "</p></b><td>cell<td>next<!-- x"), (3, "http://h/", "<div a='")]
+    got = Counter((r.page_id, r.text) for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+    assert got == {(1, " ".join(f"w{k}" for k in range(60_000))): 2, (2, "two three four"): 1, (None, "cell next"): 1, (3, ""): 1}
+
+
 def test_licenses(spark, odd_docs, no_docs):
     mit = licenses.TEMPLATES[3][1]
     cut = mit.replace("including without limitation", "including, but without any limitation,").replace("sublicense", "")
