@@ -69,7 +69,44 @@ def test_spans_over_the_break(spark):
 
 
 def test_grid():
-    assert TB.grid([["A", "A", "B"], ["A", "A", "C"]], [(0, 0, 2, 2)]).splitlines() == ["+-----+-----+-----+", "| A         | B   |", "|           +-----+", "|           | C   |", "+-----+-----+-----+"]
+    assert TB.merged_grid([["A", "A", "B"], ["A", "A", "C"]], [(0, 0, 2, 2)]).splitlines() == ["+-----+-----+-----+", "| A         | B   |", "|           +-----+", "|           | C   |", "+-----+-----+-----+"]
+
+
+def test_plain_grid_is_a_grid_without_merges(spark):
+    cells = [["a", "long head", ""], ["1"], ["x|y", "z", "four"]]
+    got = spark.createDataFrame([(cells, []), ([], []), (cells, [(0, 1, 1, 2)])], f"cells {TB.CELLS}, merges {TB.MERGES}").select(TB.grid_text(F.col("cells"), F.col("merges")).alias("g")).collect()
+    assert [r.g for r in got] == [TB.merged_grid(cells, []), "", TB.merged_grid(cells, [(0, 1, 1, 2)])]
+
+
+def _stitched(fragments, heads):
+    """A plain model of stitching: rows one after the other, column by column."""
+    rows = [list(r) for r in fragments[0]]
+    for f in fragments[1:]:
+        more = [list(r) for r in f]
+        for h in heads:
+            if more and more[0] == h:
+                more = more[1:]
+        begin = len(rows)
+        rows += more
+        for c in range(min(map(len, rows)) if more and begin >= 2 else 0):
+            i = begin
+            while rows[begin - 1][c] and rows[begin - 2][c] == rows[begin - 1][c] and i < len(rows) and rows[i][c] == "":
+                rows[i][c] = rows[begin - 1][c]
+                i += 1
+    return rows
+
+
+def test_spans_against_a_plain_model(spark):
+    random.seed(11)
+    docs = {}
+    for d in range(40):
+        head = [["h", "k", "m"][: random.choice([2, 3])]]
+        n = len(head[0])
+        line = lambda n=n: [random.choice(["", "", "x", "y"]) for _ in range(random.choice([n, n, n, n - 1]))]
+        docs[f"d{d}"] = [head + [line() for _ in range(random.randint(0, 3))]] + [[["", *["k"] * (n - 1)] if random.random() < 0.5 else head[0]] + [line() for _ in range(random.randint(0, 3))] for _ in range(random.randint(1, 5))]
+    rows = [_fragment(p, f, (100, 800) if p == 0 else (72, 800), doc=d) for d, fs in docs.items() for p, f in enumerate(fs)]
+    got = {r.doc_id: r.cells for r in _tables(spark, *rows)}
+    assert got == {d: _stitched(fs, fs[0][:1]) for d, fs in docs.items()}
 
 
 @pytest.mark.parametrize("cells,start", [([], "fewer"), ([["a"]], "fewer"), ([["a", "b"], ["c"]], "ragged"), ([["", ""], ["a", "b"]], "empty header"), ([["a", ""], ["", ""], ["", ""]], "mostly empty"), ([["a", "b"], ["1", "2"]], None)])
