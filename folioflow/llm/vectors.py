@@ -1,12 +1,16 @@
 """Near-duplicate vectors by a robust-pruned flat graph over overlapping cluster shards.
 
-Vectors are put into the shards of their nearest centres, with overlap. In every shard a graph is built: each vector is
-linked to its near neighbours, thinned by the robust-pruning rule, and linked back. The neighbour lists that a vector
-got in its shards are united. A search starts from the medoids of a shard (and from the vector itself where the shard
-holds it), walks greedily to the best it can find, and from every vector in range goes on along the graph until nothing
-new is in range. Pairs are checked in double precision. A pair is counted in the shard that is the second one's home,
-and for both of its vectors there if the second one is not searched for in the first one's home, so nothing is counted twice
-and no list of pairs is made; for components each shard sends one link per vector.
+Vectors are put into the shards of their nearest centres, with overlap. Centres are fitted on a bounded sample and are so
+at most a fixed number; a shard that grows too large is cut again around pivots, members of its own, whose number grows
+with it. In every shard a graph is built: each vector is linked to its near neighbours, thinned by the robust-pruning
+rule, and linked back. The neighbour lists that a vector got in its shards are united. A search starts from the medoids
+of a shard (and from the vector itself where the shard holds it), walks greedily to the best it can find, and from every
+vector in range goes on along the graph until nothing new is in range. Pairs are checked in double precision.
+
+A pair is counted in the shard that is the second one's home, and for both of its vectors there if the second one is not
+searched for in the first one's home, so nothing is counted twice and no list of pairs is made. Within one home a pair that
+either search meets counts for both. For components each shard sends one link per vector, and a vector that only others
+have met counts one link.
 """
 
 from __future__ import annotations
@@ -36,8 +40,11 @@ TRIALS = 2000
 DEGREE = 24
 CANDIDATES = 64
 ALPHA = 1.2
-#: A shard with more members than this is dealt by hash into blocks, and every block is searched.
+#: A shard with more members than this is cut around pivots, one for SHARD of its vectors, each held by CELLS of them.
 BLOCK = 4000
+CELLS = 2
+#: Rows of one shard that are compared with its pivots, or searched for in it, in one task.
+SALT_ROWS = 20_000
 BEAM = 24
 MEDOIDS = 32
 AUDIT = 4096  # audited vectors that are compared in one pass
@@ -97,8 +104,8 @@ def robust_graph(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> l
     """Neighbour lists over the rows of x (unit vectors, float32).
 
     From each vector's nearest candidates the nearest is kept, and those that are closer to it by the factor alpha than
-    to the vector itself fall out, and so on; links are made both ways and lists that grow too long are thinned to the
-    nearest. Vectors that the first one does not reach are linked to their nearest that it does.
+    to the vector itself fall out, and so on; links are made both ways and lists that grow too long are pruned by the same
+    rule again. Vectors that the first one does not reach are linked to their nearest that it does.
     """
     n = len(x)
     m = min(CANDIDATES, n - 1)
@@ -135,7 +142,9 @@ def robust_graph(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> l
     order = np.lexsort((-s, u))
     u, v = u[order], v[order]
     start = np.searchsorted(u, np.arange(n + 1))
-    lists = [v[start[i] : start[i + 1]][: 2 * degree] for i in range(n)]
+    lists = [v[start[i] : start[i + 1]] for i in range(n)]
+    for i in np.flatnonzero(np.diff(start) > 2 * degree).tolist():
+        lists[i] = _pruned(x, i, lists[i], 2 * degree, alpha)
     seen = np.zeros(n, bool)
     todo = np.array([0])
     while True:
@@ -153,6 +162,18 @@ def robust_graph(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> l
         todo = pick
 
 
+def _pruned(x: np.ndarray, i: int, near: np.ndarray, degree: int, alpha: float) -> np.ndarray:
+    """At most `degree` of the neighbours of i, given nearest first, by the robust rule."""
+    away = np.sqrt(np.maximum(0, 2 - 2 * (x[near] @ x[i])))
+    kept, live = [], np.ones(len(near), bool)
+    while live.any() and len(kept) < degree:
+        first = int(live.argmax())
+        kept.append(first)
+        live &= alpha * np.sqrt(np.maximum(0, 2 - 2 * (x[near] @ x[near[first]]))) > away
+        live[first] = False
+    return near[kept]
+
+
 def medoids(x: np.ndarray, k: int = MEDOIDS) -> np.ndarray:
     """The vector nearest to the middle, then one after the other the vector farthest from those taken."""
     out = [int((x @ x.mean(0)).argmax())]
@@ -254,29 +275,42 @@ def _search(dims: int, cosine: float):
         entry = medoids(x32)
         qkey, q = pdf["key"].to_numpy(), _matrix(pdf["vec"], dims)
         own = np.array([place.get(k, -1) for k in qkey.tolist()])
+        asking = np.flatnonzero((pdf["salt"].to_numpy() == 0) | ~pdf["member"].to_numpy(bool))
         block = max(16, min(512, (1 << 22) // len(x)))
-        out_k, out_n, edges_a, edges_b = [], [], [], []
+        out_k, out_n, edges_a, edges_b, inner = [], [], [], [], []
         at = np.searchsorted(qkey, key)
         shard, q_home, q_copies = pdf["shard"].iloc[0], np.array([p[0] for p in pdf["probes"]]), pdf["copies"].to_numpy()
         probes = np.full((len(key), max(map(len, inside["probes"]))), -1, np.int64)
         for i, p in enumerate(inside["probes"]):
             probes[i, : len(p)] = p
-        for lo in range(0, len(q), block):
-            a, u = range_search(x32, lists, entry, q[lo : lo + block].astype(np.float32), own[lo : lo + block], cosine)
-            ok = home[u] & (own[lo : lo + block][a] != u)
+        for lo in range(0, len(asking), block):
+            some = asking[lo : lo + block]
+            a, u = range_search(x32, lists, entry, q[some].astype(np.float32), own[some], cosine)
+            a = some[a]
+            ok = home[u] & (own[a] != u)
             a, u = a[ok], u[ok]
             for p in range(0, len(a), 1 << 16):
                 s = slice(p, p + (1 << 16))
-                good = np.einsum("id,id->i", q[lo : lo + block][a[s]], x[u[s]]) >= cosine
-                edges_a.append(a[s][good] + lo)
-                edges_b.append(at[u[s][good]])
-                out_k.append(edges_a[-1])
-                out_n.append(copies[u[s][good]])
-                away = np.flatnonzero(q_home[edges_a[-1]] != shard)
-                one, other = edges_a[-1][away], u[s][good][away]
+                good = np.einsum("id,id->i", q[a[s]], x[u[s]]) >= cosine
+                one, other = a[s][good], u[s][good]
+                edges_a.append(one)
+                edges_b.append(at[other])
+                away = q_home[one] != shard
+                # both at home here: whichever search has met the pair, it counts for both
+                pair = np.sort(np.stack([one[~away], at[other[~away]]], 1), 1)
+                inner.append(pair[:, 0] * len(q) + pair[:, 1])
+                one, other = one[away], other[away]
+                out_k.append(one)
+                out_n.append(copies[other])
                 unseen = (probes[other] != q_home[one][:, None]).all(1)
                 out_k.append(at[other[unseen]])
                 out_n.append(q_copies[one[unseen]])
+            if len(inner) > 64:
+                inner = [np.unique(np.concatenate(inner))]
+        if inner:
+            one, other = np.divmod(np.unique(np.concatenate(inner)), len(q))
+            out_k += [one, other]
+            out_n += [q_copies[other], q_copies[one]]
         a, b = (np.concatenate(e) if e else np.zeros(0, np.int64) for e in (edges_a, edges_b))
         links = np.bincount(np.concatenate(out_k), weights=np.concatenate(out_n), minlength=len(q)).astype(np.int64) if out_k else np.zeros(len(q), np.int64)
         root = _find(np.arange(len(q)), a, b)
@@ -291,18 +325,23 @@ def _prepared(df: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vec: list[bytes | None] = []
-            dims: list[int] = []
-            for e in batch.column("embedding"):
-                v = np.array(e.as_py() if e.is_valid else [], np.float64) if e.is_valid and None not in e.as_py() else np.zeros(0)
-                size = np.linalg.norm(v) if len(v) and np.isfinite(v).all() else 0.0
-                top = np.abs(v).max() if size == np.inf else 1.0
-                v = v / top
-                size = np.linalg.norm(v) if len(v) else 0.0
-                good = bool(len(v) and np.isfinite(size) and size > 0)
-                vec.append((v / size).astype("<f8").tobytes() if good else None)
-                dims.append(len(v) if good else 0)
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(dims, pa.int32()), pa.array(vec, pa.binary())], ["vec_id", "dims", "vec"])
+            col = batch.column("embedding")
+            flat = col.flatten()
+            v = flat.fill_null(np.nan).to_numpy(zero_copy_only=False).astype(np.float64)
+            size = np.diff(col.offsets.to_numpy()) * col.is_valid().to_numpy(zero_copy_only=False)
+            off = np.concatenate([[0], np.cumsum(size)])
+            some = np.flatnonzero(size)
+            # scaled by the largest component first, so that no square overflows
+            top = np.ones(len(col))
+            top[some] = np.maximum.reduceat(np.abs(v), off[some]) if len(some) else 1.0
+            good = np.isfinite(top) & (top > 0) & (size > 0)
+            with np.errstate(all="ignore"):
+                u = v / np.repeat(top, size)
+                norm = np.ones(len(col))
+                norm[some] = np.sqrt(np.add.reduceat(u * u, off[some])) if len(some) else 1.0
+                data = (u / np.repeat(norm, size)).astype("<f8").tobytes()
+            vec = [data[8 * a : 8 * b] if g else None for a, b, g in zip(off[:-1].tolist(), off[1:].tolist(), good.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(np.where(good, size, 0), pa.int32()), pa.array(vec, pa.binary())], ["vec_id", "dims", "vec"])
 
     d = df.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     d = d.mapInArrow(run, d.select("vec_id").schema.add("dims", "integer").add("vec", "binary"))
@@ -330,27 +369,74 @@ def _shards(reps: DataFrame, dims: int, centres: np.ndarray, gap: float) -> Data
     return reps.select("key", "vec", "copies").mapInArrow(run, "key long, vec binary, copies long, shard int, home boolean, member boolean, probes array<int>")
 
 
+def _cells(d: DataFrame, dims: int, gap: float) -> DataFrame:
+    """As `_shards`, with `shard` and `probes` as longs; shards of more than BLOCK members are cut around their pivots.
+
+    Pivots are members by hash, one for SHARD vectors at home. The rows of a large shard are dealt into salts, and each
+    salt reads the pivots before its rows, so neither the shard nor its pivots meet in a group.
+    """
+    wide = d.withColumn("shard", F.col("shard").cast("long") * (1 << 32)).withColumn("probes", F.transform("probes", lambda p: p.cast("long") * (1 << 32)))
+    sizes = wide.groupBy("shard").agg(F.count_if("member").alias("members"), F.count_if("home").alias("at_home"), F.count(F.lit(1)).alias("rows"), F.min(F.when(F.col("home"), F.col("key"))).alias("least"))
+    large = staged(sizes.where(F.col("members") > BLOCK), "large")
+    if large.isEmpty():
+        return wide
+    pivots = wide.where("home").join(large, "shard").where((F.pmod(F.xxhash64("key", F.lit(3)), F.col("at_home")) < F.ceil(F.col("at_home") / SHARD)) | (F.col("key") == F.col("least")))
+    salts = F.ceil(F.col("rows") / SALT_ROWS).cast("int")
+    none = F.lit(False)
+    first = pivots.select("key", "vec", "copies", "shard", none.alias("home"), none.alias("member"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(0).alias("turn"))
+    rows = wide.join(large.select("shard", "rows"), "shard").select("key", "vec", "copies", "shard", "home", "member", F.pmod(F.xxhash64("key", F.lit(4)), salts).cast("int").alias("salt"), F.lit(1).alias("turn"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, centres = None, [], np.zeros((0, dims))
+        for whole in batches:
+            for lo in range(0, len(whole), 1024):
+                batch = whole.slice(lo, 1024)
+                shard, salt, turn = (batch.column(c).to_numpy() for c in ("shard", "salt", "turn"))
+                edge = np.flatnonzero(np.append(True, (shard[1:] != shard[:-1]) | (salt[1:] != salt[:-1]) | (turn[1:] != turn[:-1])))
+                for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(batch)], strict=True):
+                    part = batch.slice(a, b - a)
+                    if now != (shard[a], salt[a]):
+                        now, held = (shard[a], salt[a]), []
+                    x = _matrix(part.column("vec").to_pylist(), dims)
+                    if turn[a] == 0:
+                        held.append(x)
+                        centres = np.concatenate(held)
+                        continue
+                    sims = x @ centres.T
+                    order = np.argsort(-sims, axis=1, kind="stable")
+                    count = np.maximum(min(CELLS, len(centres)), (sims >= sims.max(1, keepdims=True) - gap).sum(1))
+                    take = np.repeat(np.arange(len(sims)), count)
+                    rank = np.arange(len(take)) - np.repeat(np.cumsum(count) - count, count)
+                    home, member = (part.column(c).take(pa.array(take)).to_numpy(zero_copy_only=False) for c in ("home", "member"))
+                    cell = shard[a] + 1 + order[take, rank]
+                    cols = [part.column(c).take(pa.array(take)) for c in ("key", "vec", "copies")]
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array(cell), pa.array(home & (rank == 0)), pa.array(member & (rank < CELLS))], ["key", "vec", "copies", "shard", "home", "member"])
+
+    both = first.unionByName(rows).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "turn", "key")
+    cut = both.mapInArrow(run, "key long, vec binary, copies long, shard long, home boolean, member boolean")
+    d = staged(wide.join(large.select("shard"), "shard", "left_anti").drop("probes").unionByName(cut), "cells")
+    home_first = F.transform(F.array_sort(F.collect_list(F.struct((~F.col("home")).alias("away"), "shard"))), lambda x: x["shard"])
+    return d.join(d.groupBy("key").agg(home_first.alias("probes")), "key")
+
+
 def _links(reps: DataFrame, dims: int, count: int, cosine: float) -> DataFrame:
     """(key, links, root) over the vectors of one length, a row for each shard in which a vector has links."""
     k = max(1, min(MOST_CENTRES, -(-count // SHARD)))
-    some = reps.where(F.pmod(F.col("key"), F.lit(1 << 20)) < F.lit(int((1 << 20) * min(1.0, 1.2 * SAMPLE / count)))).limit(SAMPLE)
-    x = _matrix([bytes(r.vec) for r in some.orderBy("key").select("vec").collect()], dims)
-    if not len(x):
-        x = _matrix([bytes(reps.select("vec").first().vec)], dims)
+    x = _matrix([bytes(r.vec) for r in reps.orderBy(F.xxhash64("key"), "key").select("vec").limit(SAMPLE).collect()], dims)
     centres = fit_centres(x, k)
-    d = staged(_shards(reps, dims, centres, probe_gap(x, centres, cosine)), "shards")
-    blocks = d.where("member").groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    d = d.join(blocks, "shard")
-    home_block = F.pmod(F.xxhash64(F.col("key"), F.lit(1)), F.col("blocks")).cast("int")
-    members = d.where("member").withColumn("block", home_block)
-    graph = members.groupBy("shard", "block").applyInPandas(_build(dims), "key long, near array<long>")
+    gap = probe_gap(x, centres, cosine)
+    d = staged(_cells(staged(_shards(reps, dims, centres, gap), "shards"), dims, gap), "probes")
+    members = d.where("member")
+    graph = members.groupBy("shard").applyInPandas(_build(dims), "key long, near array<long>")
     graph = graph.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     graph = staged(graph, "graph")
-    inside = members.join(graph, "key", "left").select("key", "vec", "copies", "shard", "block", "home", "member", "near", "probes")
-    asks = d.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).where(~F.col("member") | (F.col("block") != home_block))
-    none = F.lit(None).cast("array<long>")
-    asks = asks.select("key", "vec", "copies", "shard", "block", F.lit(False).alias("home"), F.lit(False).alias("member"), none.alias("near"), "probes")
-    return inside.unionByName(asks).groupBy("shard", "block").applyInPandas(_search(dims, cosine), "key long, links long, root long")
+    inside = members.join(graph, "key", "left").select("key", "vec", "copies", "shard", "home", "member", "near", "probes")
+    asks = d.where("not member").select("key", "vec", "copies", "shard", "home", "member", F.lit(None).cast("array<long>").alias("near"), "probes")
+    # many searches in one shard are dealt into salts that each hold the shard; its members search in the first
+    salts = asks.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).cast("int").alias("salts"))
+    inside = inside.join(salts, "shard", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.greatest(F.coalesce("salts", F.lit(1)), F.lit(1)) - 1))).drop("salts")
+    asks = asks.join(salts, "shard").withColumn("salt", F.pmod(F.xxhash64("key", F.lit(5)), F.col("salts")).cast("int")).drop("salts")
+    return inside.unionByName(asks).groupBy("shard", "salt").applyInPandas(_search(dims, cosine), "key long, links long, root long")
 
 
 def _audit(reps: DataFrame, rows: DataFrame, dims: int, cosine: float) -> DataFrame:
@@ -407,7 +493,8 @@ def near_vectors(df: DataFrame, cosine: float = COSINE, audit: bool = True) -> D
     counts = links.groupBy("key").agg(F.sum("links").alias("links"))
     roots = connected_components(links.where("key <> root"), "key", "root")
     nodes = reps.join(counts, "key", "left").join(roots, F.col("key") == F.col("node"), "left").join(audits, "key", "left")
-    nodes = nodes.select("key", "least", "copies", "links", "audit_links", F.coalesce("root", "key").alias("root"))
+    met = F.greatest(F.coalesce("links", F.lit(0)), F.when(F.col("node").isNotNull(), 1).otherwise(0))
+    nodes = nodes.select("key", "least", "copies", met.alias("links"), "audit_links", F.coalesce("root", "key").alias("root"))
     nodes = staged(nodes, "nodes")
     ids = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     nodes = nodes.join(ids, "root").select("key", "copies", "links", "audit_links", "component_id")

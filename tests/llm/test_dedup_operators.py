@@ -160,6 +160,36 @@ def test_vectors_over_hundreds_of_shards(spark, monkeypatch):
     assert {r.vec_id: r.audit_links for r in got if r.audit_links is not None} == {i: want[i] for i in range(0, 1600, 50)}
 
 
+def test_vectors_cut_large_shards_around_pivots(spark, monkeypatch):
+    for name, value in (("SHARD", 20), ("MOST_CENTRES", 6), ("BLOCK", 60), ("SALT_ROWS", 90), ("SAMPLE", 500)):
+        monkeypatch.setattr(vectors, name, value)
+    rng = np.random.default_rng(7)
+    centres = vectors.unit(rng.normal(size=(60, 32)))
+    x = np.concatenate([centres[i % 60][None] + rng.uniform(0.03, 0.09) * rng.normal(size=(1, 32)) for i in range(1400)])
+    x[:300] = centres[0] + 0.02 * rng.normal(size=(300, 32))  # one dense group in one shard
+    docs = spark.createDataFrame([(i, v.tolist(), 1, 2) for i, v in enumerate(x)], "vec_id long, embedding array<double>, key int, shard int")
+    got = vectors.near_vectors(docs).collect()
+    u = vectors.unit(x)
+    near = u @ u.T >= 0.9
+    want = near.sum(1) - 1
+    assert len(got) == 1400 and all(r.n_links <= want[r.vec_id] for r in got)
+    assert sum(r.n_links for r in got) >= 0.97 * want.sum() > 100_000
+    root = _roots(range(1400), zip(*np.nonzero(near), strict=True))
+    assert sum(r.component_id == root[r.vec_id] for r in got) >= 0.97 * 1400
+    members = Counter(r.component_id for r in got)
+    assert all((r.n_links > 0) == (members[r.component_id] > 1) for r in got)
+
+
+def test_vectors_near_the_limit_and_odd_rows(spark):
+    one = [1.0, 0.0, 0.0]
+    at = lambda c: [c, (1 - c * c) ** 0.5, 0.0]
+    rows = [(0, one), (1, at(0.9000001)), (2, at(0.8999999)), (None, one), (None, [0.0, 0.0, 1.0]), (5, [1e300, 0.0, 0.0]), (6, [1e-300, 0.0, 1e-320]), (7, [float("inf"), 1.0, 0.0])]
+    got = Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    one_of = [(0, 4), (5, 4), (6, 4), (None, 4)]
+    assert all(got[i, 4, 0, i == 0] == 1 for i, _ in one_of)
+    assert got[1, 5, 0, False] == 1 and got[2, 1, 0, False] == 1 and got[None, 0, None, True] == 1 and got[7, 0, 7, True] == 1
+
+
 def test_pipeline_stages(spark, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
         d = docs
