@@ -24,7 +24,11 @@ def words(text: Column) -> Column:
 
 
 def _metrics(docs: DataFrame, extra: list[str]) -> DataFrame:
-    """One pass over the texts. Windows are compared by a 64-bit hash, less the bits that hold a window's place."""
+    """One pass over the texts.
+
+    Windows are sorted by a hash packed with their place, and the words of neighbours with equal hashes are compared. Where
+    different windows share a hash, the windows of that text are sorted by their words instead, so the count is exact.
+    """
     text, lines = F.coalesce("text", F.lit("")), F.split(F.coalesce("text", F.lit("")), "\n", -1)
     solid = F.filter(lines, lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     normal = F.transform(solid, lambda x: F.regexp_replace(F.regexp_replace(F.lower(F.btrim(x, F.lit(" \t\x0b\x0c\r"))), SPACE + "+", " "), "[0-9]+", "0"))
@@ -32,26 +36,39 @@ def _metrics(docs: DataFrame, extra: list[str]) -> DataFrame:
     n, word_chars = F.size("w"), F.length(F.array_join("w", "")).cast("long")
     three = F.arrays_zip(*(F.slice("w", k, F.greatest(n - 2, F.lit(0))) for k in (1, 2, 3)))
     line = F.transform("normal", lambda x: F.struct(F.xxhash64(x).alias("h"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("n")))
-    d = d.select(*extra, "source", "text_hash", "n_chars_", "n_symbols", n.cast("long").alias("n_words"), word_chars.alias("word_chars"), (F.size("solid") - F.size(F.array_distinct("solid"))).cast("long").alias("n_dup_lines"), line.alias("lines"), three.alias("three"), F.greatest(F.ceil(F.log2(F.greatest(n, F.lit(2)).cast("double"))), F.lit(1)).cast("int").alias("bits"))
+    d = d.select(*extra, "source", "text_hash", "n_chars_", "n_symbols", n.cast("long").alias("n_words"), word_chars.alias("word_chars"), (F.size("solid") - F.size(F.array_distinct("solid"))).cast("long").alias("n_dup_lines"), line.alias("lines"), "w", three.alias("three"), F.greatest(F.ceil(F.log2(F.greatest(n, F.lit(2)).cast("double"))), F.lit(1)).cast("int").alias("bits"))
     d = d.withColumn("s", F.sort_array(F.transform("three", lambda x, i: F.call_function("shiftleft", F.xxhash64(x), F.col("bits")).bitwiseOR(i.cast("long"))))).drop("three")
     place = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bits")) - 1
     d = d.withColumn("place", place).withColumn("m", F.greatest(F.size("s") - 1, F.lit(0)))
     both = F.zip_with(F.slice("s", 1, F.col("m")), F.slice("s", 2, F.col("m")), lambda x, y: F.when(F.call_function("shiftrightunsigned", x.bitwiseXOR(y), F.col("bits")) == 0, F.array(x.bitwiseAND(F.col("place")), y.bitwiseAND(F.col("place")))))
-    again = F.sort_array(F.array_distinct(F.flatten(F.filter(both, lambda x: x.isNotNull()))))
-    d = d.withColumn("again", again)
+    d = d.withColumn("both", F.filter(both, lambda x: x.isNotNull())).drop("s")
+    word = lambda i, k: F.get("w", (i + k).cast("int"))
+    equal = lambda x, y: (word(x, 0) == word(y, 0)) & (word(x, 1) == word(y, 1)) & (word(x, 2) == word(y, 2))
+    clash = F.exists("both", lambda p: ~equal(p[0], p[1]))
+    d = d.withColumn("again", F.sort_array(F.array_distinct(F.when(clash, _repeats_by_words(F.col("w"))).otherwise(F.flatten("both"))))).drop("w", "both")
     covered = F.aggregate("again", F.struct(F.lit(-9).cast("long").alias("last"), F.lit(0).cast("long").alias("sum")), lambda a, x: F.struct(x.alias("last"), (a["sum"] + F.least(F.lit(3).cast("long"), x - a["last"])).alias("sum")))["sum"]
     d = d.withColumn("n_repeat_words", covered)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return d.select(*extra, "source", "text_hash", "n_chars_", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "lines")
 
 
+def _repeats_by_words(w: Column) -> Column:
+    """Places of the three-word windows that occur again, found by sorting the windows themselves."""
+    n = F.greatest(F.size(w) - 2, F.lit(0))
+    s = F.sort_array(F.transform(F.slice(w, 1, n), lambda x, i: F.struct(F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2)).alias("g"), i.cast("long").alias("i"))))
+    m = F.greatest(F.size(s) - 1, F.lit(0))
+    both = F.zip_with(F.slice(s, 1, m), F.slice(s, 2, m), lambda x, y: F.when(x["g"] == y["g"], F.array(x["i"], y["i"])))
+    return F.flatten(F.filter(both, lambda x: x.isNotNull()))
+
+
 def quality(docs: DataFrame, extra: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per document: `extra`, the statistics, n_removed_words, base_failed, kept.
 
-    Lines are lower-cased, blanks become one, digit runs become 0. A line counts once for each different text of a host
-    (copies of a text are one document here: they are for de-duplication to find); the host is `source`, and documents
-    without one form a host. Boilerplate lines are set aside, and a document whose remaining lines hold too few words is
-    rejected, as is one that fails the base rules. Null and empty texts have no words and fail.
+    Lines are lower-cased, blanks become one, digit runs become 0. A line counts once for each different text of a host:
+    documents with equal texts, and rows that repeat, are one document here, since counting copies would make every line of
+    a copied text boilerplate and reject all its copies. The host is `source`, and documents without one form a host.
+    Boilerplate lines are set aside, and a document whose remaining lines hold too few words is rejected, as is one that
+    fails the base rules. Null and empty texts have no words and fail. Repeated rows stay; an empty table gives no rows.
     """
     base = staged(_metrics(docs, list(extra)), "quality")
     key = ["source", "text_hash", "n_chars_"]
