@@ -15,9 +15,8 @@ WINDOW = 256  # bytes
 WIDTHS = (2, 3, 4)
 FILTERS = 8  # of each width
 DIMS = 8  # of a byte
-#: The training sample: about so many documents of each language, and from each a piece of at most so many characters.
-SAMPLE_DOCS = 600
-SAMPLE_CHARS = 1024
+#: The training sample: about so many documents of each language, read whole. This bounds what reaches the driver.
+SAMPLE_DOCS = 400
 HELD_OUT = 2  # the remainder of crc32(doc_id) mod 4 that is never learned from
 
 
@@ -26,22 +25,17 @@ def fold(doc_id: str = "doc_id"):
 
 
 def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> tuple[list[str], list[str]]:
-    """Pieces of text and their languages: a bounded sample of the labelled documents outside the held-out fold.
+    """Texts and their languages: a bounded sample of the labelled documents outside the held-out fold.
 
-    Each language is thinned by a hash of doc_id to the wanted number, so rare languages are taken whole. What reaches
-    the driver is at most twice `per_language` pieces for each language.
+    Each language is thinned by a hash of doc_id and text to about `per_language` documents, so every language is learned and
+    rare ones are taken whole. A document without an id is in no fold and is not learned from.
     """
     d = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold() != HELD_OUT))
-    counts = {r["lang"]: r["n"] for r in d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()}
-    if not counts:
-        return [], []
-    share = F.element_at(F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_language / n)))), F.col("lang"))
-    u = (F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") + 0.5) / float(1 << 53)
-    start = F.pmod(F.xxhash64("doc_id", "lang"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1)).cast("long")) + 1
-    piece = F.substring("text", start.cast("int"), SAMPLE_CHARS)
-    rows = d.where(u < share).select("doc_id", "lang", piece.alias("piece")).limit(2 * per_language * len(counts)).collect()
-    rows.sort(key=lambda r: (str(r["doc_id"]), r["lang"], r["piece"]))
-    return [r["piece"] for r in rows], [r["lang"] for r in rows]
+    shares = d.groupBy("lang").agg((per_language / F.count(F.lit(1))).alias("share")).withColumnRenamed("lang", "lang_")
+    u = (F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11).cast("double") + 0.5) / float(1 << 53)
+    rows = d.select("doc_id", "lang", "text", u.alias("u")).join(shares, F.col("lang") == F.col("lang_")).where(F.col("u") < F.col("share")).select("lang", "text").distinct().collect()
+    rows.sort()
+    return [r["text"] for r in rows], [r["lang"] for r in rows]
 
 
 def windows(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,7 +148,7 @@ def train(docs: DataFrame) -> Net | None:
     off = np.concatenate([[0], np.cumsum([len(d) for d in data])])
     x, of, used = windows(np.frombuffer(b"".join(data), np.uint8), off)
     y = np.array([names.index(k) for k in langs])[of]
-    some = used >= 16
+    some = used >= np.minimum(16, np.diff(off))[of]  # no short rests of a text, but short texts
     return Net(names).fit(x[some], y[some])
 
 
@@ -163,7 +157,8 @@ def predict(docs: DataFrame, net: Net | None, keep: list[str]) -> DataFrame:
 
     A text is cut into windows from end to end; the mean of their log probabilities, weighted by bytes, decides, and
     score is the share of the winner. A text that is null or holds no letter is `und` with score 0, and so is every
-    text if there was nothing to learn from. Ties go to the first language in order.
+    text if there was nothing to learn from. Ties go to the first language in order. Repeated rows stay, and each row is
+    predicted by itself; an empty table gives no rows.
     """
     names = net.languages if net else []
     tables = net.tables() if net else {}
