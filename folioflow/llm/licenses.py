@@ -58,9 +58,19 @@ TEMPLATES = (
 )
 
 
+def lowered(text: Column) -> Column:
+    """The text with A-Z in lower case.
+
+    F.lower is the faster way, and what it does to letters beyond ASCII joins, splits or renames no ASCII word; but for the
+    two letters that it turns into ASCII ones, whose texts are translated letter by letter.
+    """
+    folds = text.rlike("[\u0130\u212a]")
+    return F.when(folds, F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.lower(text))
+
+
 def word_string(text: Column) -> Column:
     """The words, each between single blanks: ` a b c `, or one blank if there is none."""
-    bare = F.btrim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), SEPARATOR, " "))
+    bare = F.btrim(F.regexp_replace(lowered(F.coalesce(text, F.lit(""))), SEPARATOR, " "))
     return F.when(bare == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), bare, F.lit(" ")))
 
 
@@ -107,7 +117,8 @@ def scan(docs: DataFrame, extra: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per document: `extra`, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     score is the largest share of a template that a span covers, or 0.5 where only a phrase was found, else 0. Null and
-    empty texts have no words and no labels. Copies of a text are voted on once and share the result.
+    empty texts have no words and no labels. Votes are grouped by text, so those of copies and repeated rows fall together
+    (texts are told apart by length and a 64-bit hash). An empty table gives no rows; other columns are not read.
     """
     d = docs.select(*extra, F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), F.length(F.coalesce("text", F.lit(""))).alias("tl"), word_string(F.col("text")).alias("words"))
     n_words = (_blanks(F.col("words")) - 1).cast("long")
