@@ -43,6 +43,14 @@ def test_quality_removes_lines_of_a_host_and_keeps_clean_documents(spark):
     assert got[200].n_removed_words == 0
 
 
+def test_quality_counts_windows_exactly_where_hashes_clash(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c d a b c e a b c x y z x y z", "s"), (2, "p q r s t", "s"), (3, None, "s")], "doc_id long, text string, source string")
+    plain = [(r.doc_id, r.n_repeat_words) for r in quality.quality(docs).orderBy("doc_id").collect()]
+    real = F.xxhash64
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *c: F.lit(0).cast("long") if len(c) == 1 and not isinstance(c[0], str) and "namedlambda" in str(c[0]) else real(*c))
+    assert [(r.doc_id, r.n_repeat_words) for r in quality.quality(docs).orderBy("doc_id").collect()] == plain == [(1, 15), (2, 0), (3, 0)]
+
+
 def test_bpe_agrees_with_the_tokenizer(spark, odd_docs, no_docs):
     from tokenizers import Tokenizer
 
@@ -81,6 +89,28 @@ def test_language_network_learns(spark, odd_docs, no_docs):
     assert langid.identify(odd_docs).count() == odd_docs.count()
 
 
+def test_language_tables_are_the_convolution():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    net = langid.Net(["a", "b", "c"])
+    x = rng.integers(0, 256, (9, langid.WINDOW)).astype(np.uint8)
+    x[3, 100:] = 0
+    want = np.empty((9, 3))
+    for i, row in enumerate(x):
+        e = net.p["e"][row]
+        tops = [max(sum(e[at + j] @ net.p[f"w{w}"].reshape(w, langid.DIMS, -1)[j][:, f] for j in range(w)) for at in range(langid.WINDOW - w + 1)) for w in langid.WIDTHS for f in range(langid.FILTERS)]
+        z = np.maximum(tops, 0) @ net.p["o"] + net.p["c"]
+        want[i] = z - np.log(np.exp(z).sum())
+    assert np.abs(langid.log_probabilities(x, net.tables(), 4) - want).max() < 1e-3
+
+
+def test_language_learns_any_number_of_labels(spark):
+    rows = [(i, f"{chr(97 + k % 26)}{chr(97 + k // 26)} " * 40, f"l{k:03d}") for i, k in enumerate([k for k in range(230) for _ in range(3)])]
+    texts, langs = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(set(langs)) >= 225 and max(map(len, texts)) == 120
+
+
 def test_language_accuracy_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     d = langid.identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
@@ -185,6 +215,8 @@ def test_licenses(spark, odd_docs, no_docs):
     assert got[4].base_labels == "gpl" and got[4].first_word == 1
     assert (got[5].labels, got[6].n_words, got[6].labels, got[6].first_word) == ("", 0, "", None)
     assert got[7].labels == "cc-by-nc" and got[8].labels == ""
+    kelvin = licenses.scan(spark.createDataFrame([(1, "MIT LICENSE \u212a \u0130x"), (2, "m\u0130t license"), (3, "\u00c9 MIT License")], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(r.n_words, r.n_base, r.first_word) for r in kelvin] == [(4, 1, 0), (2, 0, None), (3, 1, 1)]
     assert licenses.scan(odd_docs).count() == odd_docs.count() and licenses.scan(no_docs).count() == 0
 
 
@@ -229,6 +261,26 @@ def test_pii_field_adds_and_keeps_base(spark, odd_docs, no_docs):
     assert pii.scan(odd_docs.select("doc_id", "text")).count() == odd_docs.count() and pii.scan(no_docs.select("doc_id", "text")).count() == 0
 
 
+def test_pii_field_on_held_out_rows():
+    """Precision and recall of words in the field's kinds on rows of another seed, with marks that training does not use."""
+    import numpy as np
+
+    words, states = pii.labelled(seed=1007, rounds=15)
+    swap = {"***": "~~", "%%%": ";", "!!": "?"}
+    texts = [" ".join(next((x[: -len(k)] + v for k, v in swap.items() if x.endswith(k)), x) for x in w) for w in words]
+    data = [t.encode() for t in texts]
+    off = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+    found = pii.found_spans(texts, np.frombuffer(b"".join(data), np.uint8), off, pii.train())
+    hit = marked = wanted = 0
+    for t, s, spans in zip(texts, states, found, strict=True):
+        at = [m.span() for m in re.finditer(r"[^ ]+", t)]
+        got = [next((pii.STATES.index(k) for k, a, b in spans if a < e and b0 < b), 0) for b0, e in at]
+        hit += sum(g == w != 0 for g, w in zip(got, s, strict=True))
+        marked += sum(g != 0 for g in got)
+        wanted += sum(w != 0 for w in s)
+    assert hit >= 0.95 * marked and hit >= 0.95 * wanted > 500
+
+
 def test_viterbi_skips_nothing():
     import numpy as np
 
