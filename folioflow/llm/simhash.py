@@ -85,9 +85,11 @@ def _around(df: DataFrame, masks: list[int]) -> DataFrame:
 
 def close_pairs(fps: DataFrame) -> DataFrame:
     """All pairs (a < b) of the distinct longs in fps.fp that differ in one to three bits, each once."""
+    # the written table may be a few files; every task is to emit its share of the balls
+    fps = fps.repartition(max(8, int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "fp")
     near = _around(fps, ONE)
     far = _around(fps.where(F.bit_count("fp") % 2 == 1), [0, *TWO])
-    index = near.select("z", F.col("fp").alias("y")).hint("shuffle_hash")
+    index = near.select("z", F.col("fp").alias("y")).hint("merge")
     close = (F.bit_count(F.col("fp").bitwiseXOR(F.col("y"))) <= RADIUS) & (F.col("fp") != F.col("y"))
     met = near.join(index, "z").where(close & (F.col("fp") < F.col("y"))).union(far.join(index, "z").where(close))
     return met.select(F.least("fp", "y").alias("a"), F.greatest("fp", "y").alias("b")).distinct()
