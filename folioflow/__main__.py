@@ -1,6 +1,6 @@
 """python -m folioflow INPUT --out OUT [--from-layer N] [--set section.name=value ...]
 
-INPUT holds the decoded tables as Parquet: pages, regions, drawings, native_tables, responses.
+INPUT holds the decoded tables as Parquet: pages, regions, drawings, native_tables, and any of responses, documents, figures.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from folioflow.plans import pipeline as PL
 
 
 def configured(settings: list[str]) -> Config:
-    """Config with values such as chunking.size_tokens=256 put in; values are JSON, or else plain strings."""
+    """Config with values such as cutting.tokens=256 put in; values are JSON, or else plain strings."""
     cfg = Config()
     for item in settings:
         path, _, raw = item.partition("=")
@@ -40,7 +40,11 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--set", action="append", default=[], metavar="SECTION.NAME=VALUE")
     a = p.parse_args(args)
     spark = SparkSession.builder.appName("folioflow").getOrCreate()
-    tables = {f.name: spark.read.parquet(f"{a.input}/{f.name}") for f in dataclasses.fields(PL.Inputs)}
+    tables = {}
+    for f in dataclasses.fields(PL.Inputs):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{a.input}/{f.name}")
+        if f.default is dataclasses.MISSING or path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            tables[f.name] = spark.read.parquet(str(path))
     made = PL.execute(PL.Run(spark, a.out, configured(a.set)), PL.Inputs(**tables), a.from_layer)
     for row in made.toLocalIterator():
         print(row.asDict(recursive=True))

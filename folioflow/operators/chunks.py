@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from folioflow.config import Chunking
+from folioflow.config import Cutting
 from folioflow.functions import geometry as G
 from folioflow.functions import text as T
 
@@ -54,20 +58,31 @@ def _embedding(headings: Column, body: Column) -> Column:
     return F.when(F.size(headings) > 0, F.concat(crumb(headings), F.lit("\n\n"), body)).otherwise(body)
 
 
+def _sectioned(walked: DataFrame) -> DataFrame:
+    """walked with `section`, which a title or table begins, and `emit`, the place where the next one begins."""
+    w = Window.partitionBy("doc_id").orderBy("pos")
+    ends = F.col("kind").isin("title", "table")
+    d = walked.withColumn("section", F.sum(F.when(ends, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return d.withColumn("emit", F.coalesce(F.min(F.when(ends, F.col("pos"))).over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(2**31 - 1)))
+
+
+def _texts() -> list[Column]:
+    """Aggregates of a section's texts: contents in order, pages from 1, the last text's source and headings, any flag."""
+    text = F.col("kind") == "text"
+    at = F.when(text, F.col("pos"))
+    return [
+        F.transform(F.array_sort(F.collect_list(F.when(text, F.struct("pos", "content")))), lambda x: x["content"]).alias("texts"), F.array_sort(F.collect_set(F.when(text, (F.col("page") + 1).cast("int")))).alias("text_pages"),
+        F.max_by("source", at).alias("text_source"), F.coalesce(F.bool_or(F.when(text, F.col("needs_review"))), F.lit(False)).alias("text_review"), F.max_by("headings", at).alias("text_headings"),
+    ]
+
+
 def sections(walked: DataFrame) -> DataFrame:
     """(doc_id, emit, headings, text, pages, source, needs_review): the texts between titles and tables; figures do not end one.
 
     emit is the place of the title or table that ends the section. The source is the last text's; one flagged text flags all.
     """
-    w = Window.partitionBy("doc_id").orderBy("pos")
-    ends = F.col("kind").isin("title", "table")
-    d = walked.withColumn("section", F.sum(F.when(ends, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.withColumn("emit", F.coalesce(F.min(F.when(ends, F.col("pos"))).over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(2**31 - 1)))
-    g = d.where("kind = 'text'").groupBy("doc_id", "section", "emit").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "content"))).alias("x"), F.array_sort(F.collect_set((F.col("page") + 1).cast("int"))).alias("pages"),
-        F.max_by("source", "pos").alias("source"), F.bool_or("needs_review").alias("needs_review"), F.max_by("headings", "pos").alias("headings"),
-    )
-    return g.select("doc_id", "emit", "headings", F.array_join(F.transform("x", lambda y: y["content"]), "\n\n").alias("text"), "pages", "source", "needs_review")
+    g = _sectioned(walked).where("kind = 'text'").groupBy("doc_id", "section", "emit").agg(*_texts())
+    return g.select("doc_id", "emit", F.col("text_headings").alias("headings"), F.array_join("texts", "\n\n").alias("text"), F.col("text_pages").alias("pages"), F.col("text_source").alias("source"), F.col("text_review").alias("needs_review"))
 
 
 def pieces(text: Column, size_tokens: int) -> Column:
@@ -84,44 +99,91 @@ def pieces(text: Column, size_tokens: int) -> Column:
     return F.filter(F.transform(cut, T.strip), lambda p: p != "")
 
 
-def chunks(walked: DataFrame, cfg: Chunking | None = None) -> DataFrame:
+Splitter = Callable[[Column], Column]
+
+
+def splitter(cfg: Cutting, count: Callable[[str], int] | None = None) -> Splitter:
+    """A text to its pieces, array<struct<content, tokens>>: estimated and in the JVM, or by a tokenizer's `count` in Python.
+
+    With an overlap a piece begins with the last sentences of the one before that hold no more than so many tokens.
+    """
+    if count is None and not cfg.overlap:
+        return lambda text: F.transform(pieces(text, cfg.tokens), lambda p: F.struct(p.alias("content"), T.token_estimate(p).alias("tokens")))
+    by = count or (lambda t: max(1, len(t) // 4))
+    piece = StructType([StructField("content", StringType()), StructField("tokens", IntegerType())])
+
+    @F.pandas_udf(ArrayType(piece))
+    def cut(texts: pd.Series) -> pd.Series:
+        return pd.Series([[{"content": p, "tokens": by(p)} for p in sentence_pieces(t, cfg.tokens, cfg.overlap, by)] for t in texts], dtype=object)
+
+    return lambda text: cut(text)
+
+
+def sentence_pieces(text: str, most: int, overlap: int, count: Callable[[str], int]) -> list[str]:
+    """Stripped pieces of whole sentences with at most `most` tokens; a longer sentence stands alone."""
+    out, open_ = [], []
+    for sentence in _SENTENCE.split(text):
+        if open_ and count("".join([*open_, sentence]).strip()) > most:
+            out.append("".join(open_))
+            kept: list[str] = []
+            while open_ and overlap and count("".join([open_[-1], *kept]).strip()) <= overlap:
+                kept.insert(0, open_.pop())
+            open_ = kept if count("".join([*kept, sentence]).strip()) <= most else []
+        open_.append(sentence)
+    return [p for p in (x.strip() for x in [*out, "".join(open_)]) if p]
+
+
+_SENTENCE = re.compile(r"(?<=[.!?]\s)(?=\S)")
+_CHUNK = f"struct<emit:int,rank:int,part:int,type:string,content:string,embedding_text:string,headings:array<string>,pages:array<int>,bbox:{G.BOX},storage_key:string,source:string,needs_review:boolean,token_count:int,table_id:string>"
+
+
+def _chunk(emit, rank, part, kind, content, embedding, headings, pages, bbox, key, source, review, tokens, table_id) -> Column:
+    return F.struct(emit, F.lit(rank), part, F.lit(kind), content, embedding, headings, pages, bbox, key, source, review, tokens, table_id).cast(_CHUNK)
+
+
+def chunks(walked: DataFrame, cfg: Cutting | None = None, split: Splitter | None = None) -> DataFrame:
     """Chunks of every document in emission order; `walked` has headings.
 
     A figure comes at its place, a section's text where the section ends, a table after the text before it, its rows in
-    groups that repeat all header rows. A table under review is a chunk without content.
+    groups that repeat all header rows. A table under review is a chunk without content. `split` may bring another way of
+    cutting text. The items of a section are gathered once, and documents are shuffled once.
     """
-    cfg = cfg or Chunking()
-    nul = lambda t: F.lit(None).cast(t)
-    s = sections(walked).select("*", F.posexplode(pieces(F.col("text"), cfg.size_tokens)).alias("part", "content"))
-    text = s.select(
-        "doc_id", "emit", F.lit(0).alias("rank"), "part", F.lit("text").alias("type"), "content", _embedding(F.col("headings"), F.col("content")).alias("embedding_text"), "headings", "pages", nul(G.BOX).alias("bbox"), nul("string").alias("storage_key"),
-        "source", "needs_review", (T.token_estimate(F.col("content")) + F.when(F.size("headings") > 0, T.token_estimate(crumb(F.col("headings")))).otherwise(0)).alias("token_count"), nul("string").alias("table_id"),
-    )
-    f = walked.where("kind = 'figure'")
-    mark = F.format_string("[figure on page %d]", (F.col("page") + 1).cast("int"))
-    f = f.withColumn("embedding_text", _embedding(F.col("headings"), mark))
-    figure = f.select(
-        "doc_id", F.col("pos").alias("emit"), F.lit(1).alias("rank"), F.lit(0).alias("part"), F.lit("figure").alias("type"), F.lit("").alias("content"), "embedding_text", "headings", F.array((F.col("page") + 1).cast("int")).alias("pages"), "bbox", "storage_key",
-        "source", "needs_review", T.token_estimate(F.col("embedding_text")).alias("token_count"), nul("string").alias("table_id"),
-    )
-    t = walked.where("kind = 'table'").withColumn("pages", F.transform("pages", lambda p: p + 1))
-    held = F.col("needs_review") | (F.size("cells") == 0)
-    n_head = F.greatest(F.lit(1), F.least("header_rows", F.size("cells") - 1))
-    data = F.greatest(F.size("cells") - n_head, F.lit(0))
-    starts = F.when(data > 0, F.sequence(F.lit(0), data - 1, F.lit(cfg.table_rows_per_chunk))).otherwise(F.array().cast("array<int>"))
-    groups = t.where(~held).withColumn("n_head", n_head).select("*", F.posexplode(starts).alias("part", "at"))
-    md = T.cells_markdown(F.concat(F.slice("cells", 1, F.col("n_head")), F.slice("cells", F.col("n_head") + F.col("at") + 1, F.lit(cfg.table_rows_per_chunk))))
-    good = groups.withColumn("content", md).withColumn("embedding_text", _embedding(F.col("headings"), F.col("content"))).withColumn("storage_key", nul("string")).withColumn("needs_review", F.lit(False))
-    wanted = F.format_string("[table needing review on page %d]", F.get("pages", F.lit(0)))
-    bad = t.where(held).withColumn("part", F.lit(0)).withColumn("content", F.lit("")).withColumn("embedding_text", F.concat(crumb(F.col("headings")), F.lit("\n\n"), wanted)).withColumn("needs_review", F.lit(True))
-    table = [
-        x.select(
-            "doc_id", F.col("pos").alias("emit"), F.lit(1).alias("rank"), "part", F.lit("table").alias("type"), "content", "embedding_text", "headings", "pages", "bbox", "storage_key", "source", "needs_review",
-            T.token_estimate(F.col("embedding_text")).alias("token_count"), "table_id",
-        )
-        for x in (good, bad)
-    ]
-    d = text.unionByName(figure).unionByName(table[0]).unionByName(table[1])
+    cfg = cfg or Cutting()
+    split = split or splitter(cfg)
+    null, zero = F.lit(None), F.lit(0)
+    names = ["pos", "page", "bbox", "storage_key", "source", "needs_review", "headings", "pages", "cells", "header_rows", "table_id"]
+    item = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct(*names))), lambda a, b: a["pos"] - b["pos"])
+    g = _sectioned(walked).groupBy("doc_id", "section", "emit").agg(*_texts(), item("figure").alias("figures"), item("table").alias("tables"))
+
+    def text_chunk(p: Column, i: Column) -> Column:
+        h = F.col("text_headings")
+        tokens = p["tokens"] + F.when(F.size(h) > 0, T.token_estimate(crumb(h))).otherwise(0)
+        return _chunk(F.col("emit"), 0, i, "text", p["content"], _embedding(h, p["content"]), h, F.col("text_pages"), null, null, F.col("text_source"), F.col("text_review"), tokens, null)
+
+    def figure_chunk(f: Column) -> Column:
+        e = _embedding(f["headings"], F.format_string("[figure on page %d]", (f["page"] + 1).cast("int")))
+        return _chunk(f["pos"], 1, zero, "figure", F.lit(""), e, f["headings"], F.array((f["page"] + 1).cast("int")), f["bbox"], f["storage_key"], f["source"], f["needs_review"], T.token_estimate(e), null)
+
+    def table_chunks(t: Column) -> Column:
+        pages = F.transform(t["pages"], lambda p: p + 1)
+        held = t["needs_review"] | (F.size(t["cells"]) == 0)
+        head = F.greatest(F.lit(1), F.least(t["header_rows"], F.size(t["cells"]) - 1))
+        data = F.greatest(F.size(t["cells"]) - head, zero)
+        starts = F.when(data > 0, F.sequence(zero, data - 1, F.lit(cfg.table_rows))).otherwise(F.array().cast("array<int>"))
+
+        def group(at: Column, i: Column) -> Column:
+            md = T.cells_markdown(F.concat(F.slice(t["cells"], F.lit(1), head), F.slice(t["cells"], head + at + 1, F.lit(cfg.table_rows))))
+            e = _embedding(t["headings"], md)
+            return _chunk(t["pos"], 1, i, "table", md, e, t["headings"], pages, t["bbox"], null, t["source"], F.lit(False), T.token_estimate(e), t["table_id"])
+
+        wanted = F.concat(crumb(t["headings"]), F.lit("\n\n"), F.format_string("[table needing review on page %d]", F.get(pages, zero)))
+        review = _chunk(t["pos"], 1, zero, "table", F.lit(""), wanted, t["headings"], pages, t["bbox"], t["storage_key"], t["source"], F.lit(True), T.token_estimate(wanted), t["table_id"])
+        return F.when(held, F.array(review)).otherwise(F.transform(starts, group))
+
+    cut = F.when(F.size("texts") > 0, split(F.array_join("texts", "\n\n")))
+    g = g.withColumn("pieces", F.coalesce(cut, F.array().cast("array<struct<content:string,tokens:int>>")))
+    made = F.concat(F.transform("pieces", text_chunk), F.transform("figures", figure_chunk), F.flatten(F.transform("tables", table_chunks)))
+    d = g.select("doc_id", F.explode(made).alias("c")).select("doc_id", "c.*")
     n = F.row_number().over(Window.partitionBy("doc_id").orderBy("emit", "rank", "part")) - 1
     d = d.withColumn("n", n).withColumn("chunk_id", F.concat("doc_id", F.format_string("_c%04d", F.col("n"))))
     return d.select("doc_id", "chunk_id", "n", "type", "content", "embedding_text", "headings", "pages", "bbox", "storage_key", "source", "needs_review", "token_count", "table_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.config import PAGE_HEIGHT, Normalize
+from folioflow.config import PAGE_HEIGHT, Cleaning
 from folioflow.functions import geometry as G
 from folioflow.functions import text as T
 
@@ -25,16 +25,16 @@ def with_heights(d: DataFrame, heights: DataFrame | None) -> DataFrame:
     return d.join(heights.select("doc_id", "page", F.col("height").alias("_h")), ["doc_id", "page"], "left").withColumn("_h", F.coalesce("_h", F.lit(PAGE_HEIGHT)))
 
 
-def furniture_keys(units: DataFrame, heights: DataFrame | None = None, cfg: Normalize | None = None) -> DataFrame:
+def furniture_keys(units: DataFrame, heights: DataFrame | None = None, cfg: Cleaning | None = None) -> DataFrame:
     """(doc_id, bucket, norm, pages): texts that stand at one height in the head or foot of several pages."""
-    cfg = cfg or Normalize()
+    cfg = cfg or Cleaning()
     d = with_heights(_keyed(units.where(_prose())), heights)
-    d = d.where(G.in_band(F.col("bbox"), F.col("_h"), cfg.furniture_band_frac))
+    d = d.where(G.in_band(F.col("bbox"), F.col("_h"), cfg.head_band))
     g = d.groupBy("doc_id", F.col("_bucket").alias("bucket"), F.col("_norm").alias("norm")).agg(F.count_distinct("page").alias("pages"))
-    return g.where(F.col("pages") >= cfg.furniture_min_repeats)
+    return g.where(F.col("pages") >= cfg.head_pages)
 
 
-def strip_furniture(units: DataFrame, heights: DataFrame | None = None, cfg: Normalize | None = None) -> DataFrame:
+def strip_furniture(units: DataFrame, heights: DataFrame | None = None, cfg: Cleaning | None = None) -> DataFrame:
     """Units without furniture. Whether a text is furniture is decided in the bands; then it goes wherever it stands."""
     keys = furniture_keys(units, heights, cfg).select(F.col("doc_id").alias("_d"), F.col("bucket").alias("_b"), F.col("norm").alias("_n"))
     d = _keyed(units)
@@ -50,14 +50,15 @@ def outside_tables(units: DataFrame, tables: DataFrame) -> DataFrame:
     return units.join(spans, (F.col("doc_id") == F.col("_d")) & (F.col("page") == F.col("_p")) & inside, "left_anti")
 
 
-def heading_levels(units: DataFrame, cfg: Normalize | None = None) -> DataFrame:
-    """Titles get a level: their own, else the depth of their number, else the rank of their size in the source, else 1; at most the deepest."""
-    cfg = cfg or Normalize()
+def heading_levels(units: DataFrame, cfg: Cleaning | None = None) -> DataFrame:
+    """Titles get a level: their own, else the depth of their number, else the rank of their size in whole points
+    among those of their source, else 1; at most the deepest."""
+    cfg = cfg or Cleaning()
     title = F.col("type") == "title"
     sized = title & (F.coalesce("font_size", F.lit(0.0)) > 0)
-    rank = F.dense_rank().over(Window.partitionBy("doc_id", "source", sized).orderBy(F.bround("font_size", 1).desc()))
+    rank = F.dense_rank().over(Window.partitionBy("doc_id", "source", sized).orderBy(F.bround("font_size").desc()))
     level = F.coalesce("level", T.numbering_depth(F.col("content")), F.when(sized, rank), F.lit(1))
-    return units.withColumn("level", F.when(title, F.least(level, F.lit(cfg.max_heading_level))).otherwise(F.col("level")).cast("int"))
+    return units.withColumn("level", F.when(title, F.least(level, F.lit(cfg.deepest))).otherwise(F.col("level")).cast("int"))
 
 
 def figure_dedup(units: DataFrame, digests: DataFrame) -> DataFrame:

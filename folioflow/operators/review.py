@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioflow.config import Stitching
 from folioflow.functions import text as T
 from folioflow.operators import tables as TB
 
@@ -29,10 +30,10 @@ def gate_units(units: DataFrame, transcripts: DataFrame) -> DataFrame:
     return d.withColumn("needs_review", F.coalesce("needs_review", F.lit(False)) | (F.size("reasons") > 0)).drop("reasons")
 
 
-def gate_tables(tables: DataFrame) -> DataFrame:
+def gate_tables(tables: DataFrame, cfg: Stitching | None = None) -> DataFrame:
     """Tables with reason, flag and key of the crop; a rejected table loses its renderings, not its cells."""
     junk = TB.junk_cells(F.col("cells"))
-    reason = F.coalesce(TB.validation_reason(F.col("cells")), F.when((F.col("source") == "find_tables") & (junk > 0), F.format_string("junk in %d cells", junk)))
+    reason = F.coalesce(TB.validation_reason(F.col("cells"), (cfg or Stitching()).filled), F.when((F.col("source") == "find_tables") & (junk > 0), F.format_string("junk in %d cells", junk)))
     d = tables.withColumn("review_reason", reason).withColumn("needs_review", F.col("review_reason").isNotNull())
     d = d.withColumn("crop_key", F.when(F.col("needs_review"), F.format_string("figures/%s_review.png", "table_id")))
     return d.withColumns({c: F.when(F.col("needs_review"), F.lit("")).otherwise(F.col(c)) for c in ("markdown", "grid")}).select(tables.columns)

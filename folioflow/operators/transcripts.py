@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import random
+import time
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from folioflow.config import Transcripts
+from folioflow.config import Paid
 from folioflow.functions import text as T
 
 HEADING = r"^(#{1,6})[\s\x{b}\x{1c}-\x{1f}\x{85}\p{Z}]+(.*[^\s\x{b}\x{1c}-\x{1f}\x{85}\p{Z}])[\s\x{b}\x{1c}-\x{1f}\x{85}\p{Z}]*$"
@@ -53,7 +59,7 @@ def table_cells(markdown):
 def page_units(pages: DataFrame, regions: DataFrame) -> DataFrame:
     """Units of transcribed pages. pages: doc_id, page, width, height, markdown; regions: doc_id, page, label, box_pdf.
 
-    Text and titles carry the whole page as their box. Tables take the detector's boxes in reading order if there are
+    Text and titles carry the whole page as their box. Stitching take the detector's boxes in reading order if there are
     as many of both.
     """
     b = markdown_blocks(pages)
@@ -71,34 +77,43 @@ def page_units(pages: DataFrame, regions: DataFrame) -> DataFrame:
 def repetition(pages: DataFrame, window: int = 20) -> DataFrame:
     """(doc_id, page, worst): how often the commonest run of `window` characters occurs; 0 for texts no longer than that.
 
-    Windows are counted by page, with partial counts before the shuffle.
+    Windows are made, sorted and counted within the page's row, so nothing is shuffled.
     """
-    d = pages.select("doc_id", "page", T.collapse(F.coalesce("markdown", F.lit(""))).alias("t"))
-    w = d.where(F.length("t") > window).select("doc_id", "page", "t", F.explode(F.sequence(F.lit(1), F.length("t") - (window - 1))).alias("i"))
-    counts = w.select("doc_id", "page", F.substr("t", F.col("i"), F.lit(window)).alias("w")).groupBy("doc_id", "page", "w").agg(F.count(F.lit(1)).alias("n"))
-    worst = counts.groupBy("doc_id", "page").agg(F.max("n").alias("worst"))
-    return d.select("doc_id", "page").join(worst, ["doc_id", "page"], "left").select("doc_id", "page", F.coalesce("worst", F.lit(0)).cast("long").alias("worst"))
+    t = T.collapse(F.coalesce("markdown", F.lit("")))
+    chars = F.regexp_extract_all(t, F.lit("(?s)."), F.lit(0))
+    d = pages.select("doc_id", "page", chars.alias("chars"))
+    runs = F.sort_array(F.transform(F.sequence(F.lit(1), F.size("chars") - (window - 1)), lambda i: F.array_join(F.slice("chars", i, window), "")))
 
+    def step(a, w):
+        run = F.when(w == a["last"], a["run"] + 1).otherwise(1)
+        return F.struct(w.alias("last"), run.alias("run"), F.greatest(a["worst"], run).alias("worst"))
 
-def verify(pages: DataFrame, regions: DataFrame, cfg: Transcripts | None = None) -> DataFrame:
+    start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("worst"))
+    worst = F.when(F.size("chars") > window, F.aggregate(runs, start, step)["worst"]).otherwise(0)
+    return d.select("doc_id", "page", worst.cast("long").alias("worst"))
+
+
+def verify(pages: DataFrame, regions: DataFrame, cfg: Paid | None = None) -> DataFrame:
     """(doc_id, page, review_reasons): every check that fires, in order. pages: doc_id, page, markdown, text_layer_chars, ink_frac."""
-    cfg = cfg or Transcripts()
+    cfg = cfg or Paid()
     seen = regions.where("label = 'table'").groupBy("doc_id", "page").agg(F.count(F.lit(1)).alias("regions"))
     tables = markdown_blocks(pages).groupBy("doc_id", "page").agg(F.count_if(F.col("kind") == "table").alias("tables"), F.count(F.lit(1)).alias("blocks"))
     key = ["doc_id", "page"]
-    d = pages.join(repetition(pages, cfg.repeat_window), key).join(tables, key, "left").join(seen, key, "left")
+    d = pages.join(repetition(pages, cfg.window), key).join(tables, key, "left").join(seen, key, "left")
     md = F.coalesce("markdown", F.lit(""))
     n = F.length(T.collapse(md))
     known = F.coalesce(F.col("text_layer_chars"), F.lit(0)) > 0
-    off = (n < F.col("text_layer_chars") * cfg.len_lo) | (n > F.col("text_layer_chars") * cfg.len_hi)
-    thin = F.col("text_layer_chars").isNull() & (F.col("ink_frac") >= cfg.dense_ink_frac) & (n < cfg.min_chars_dense)
+    off = (n < F.col("text_layer_chars") * cfg.shortest) | (n > F.col("text_layer_chars") * cfg.longest)
+    thin = F.col("text_layer_chars").isNull() & (F.col("ink_frac") >= cfg.inked) & (n < cfg.inked_chars)
     reasons = F.array_compact(F.array(
-        F.when(F.col("worst") > cfg.max_repeats, F.format_string("repetition: a run of characters recurs %d times", "worst")),
+        F.when(F.col("worst") > cfg.most_repeats, F.format_string("repetition: a run of characters recurs %d times", "worst")),
         F.when(known & off, F.format_string("length %d against %d in the text layer", n, F.col("text_layer_chars"))).when(~known & thin, F.format_string("inked page, but %d characters", n)),
         F.when(T.has_junk(md) | (T.orphan_marks(md) > 0), F.lit("mojibake in the response")),
         F.when((F.coalesce("regions", F.lit(0)) >= 1) & (F.coalesce("tables", F.lit(0)) == 0), F.format_string("%d table regions, no table", "regions")),
         F.when(F.coalesce("blocks", F.lit(0)) == 0, F.lit("empty response")),
     ))
+    if "error" in pages.columns:
+        reasons = F.when(F.col("error").isNotNull(), F.array(F.concat(F.lit("the engine failed: "), "error"))).otherwise(reasons)
     return d.select(*key, reasons.alias("review_reasons"))
 
 
@@ -115,32 +130,75 @@ def flagged_units(units: DataFrame, pages: DataFrame, checked: DataFrame) -> Dat
     return d.select(*units.columns, flag.alias("needs_review"))
 
 
+def ink_fraction(dark: int = 128):
+    """A function of (samples, width, height): the share of a raster's pixels whose mean over red, green and blue is darker than `dark`;
+    samples are raw bytes, row by row, with one or more channels. Null where there is no raster."""
+
+    @F.pandas_udf(DoubleType())
+    def ink(samples: pd.Series, width: pd.Series, height: pd.Series) -> pd.Series:
+        out = []
+        for raw, w, h in zip(samples, width, height, strict=True):
+            px = np.frombuffer(raw or b"", np.uint8)
+            ok = w and h and len(px) and len(px) % int(w * h) == 0
+            out.append(float((px.reshape(int(h * w), -1)[:, :3].mean(1) < dark).mean()) if ok else None)
+        return pd.Series(out, dtype="float64")
+
+    return ink
+
+
 class Client(Protocol):
     """A transcription engine: image bytes and a prompt to (text, input tokens, output tokens)."""
 
     def generate(self, image: bytes, prompt: str) -> tuple[str, int, int]: ...
 
 
-def transcribe(pages: DataFrame, cache: DataFrame, make_client: Callable[[], Client], prompt: str, cfg: Transcripts | None = None) -> DataFrame:
-    """(doc_id, page, key, text, input_tokens, output_tokens, cached) for pages with an `image`.
+ANSWER = "key string, text string, input_tokens int, output_tokens int, error string"
+_clients: dict[bytes, Client] = {}
 
-    Responses in the cache are joined; only misses, each key once, reach the engine, one client to a worker. Empty
-    responses are for the caller not to store. Transient failures are retried by the client, not by the task.
+
+def _client(made_by: bytes) -> Client:
+    """One client for each way of making it in a worker process, which serves many tasks."""
+    if made_by not in _clients:
+        _clients[made_by] = cloudpickle.loads(made_by)()
+    return _clients[made_by]
+
+
+def transcribe(pages: DataFrame, cache: str, make_client: Callable[[], Client], prompt: str, cfg: Paid | None = None) -> DataFrame:
+    """(doc_id, page, key, text, input_tokens, output_tokens, cached, error) for pages with an `image`.
+
+    cache is a folder of Parquet. Answers in it are used; only misses, each key once, reach the engine, and what it says is
+    appended before anything reads it, so no action pays twice. Transient failures are asked again; a page that fails for
+    good has an error and no text. Failures and empty answers are kept for the record, but are no hits next time.
     """
-    cfg = cfg or Transcripts()
-    d = pages.select("doc_id", "page", "image", T.cache_key(F.col("image"), F.lit(cfg.model), F.lit(cfg.prompt_version)).alias("key"))
-    known = cache.select("key", "text", "input_tokens", "output_tokens")
+    cfg = cfg or Paid()
+    spark, made_by, run_id = pages.sparkSession, cloudpickle.dumps(make_client), uuid.uuid4().hex
+    d = pages.select("doc_id", "page", "image", T.cache_key(F.col("image"), F.lit(cfg.engine), F.lit(cfg.prompt_version)).alias("key"))
+    known = stored_answers(spark, cache)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = make_client()
+        ask = with_retries(_client(made_by).generate, cfg.retries)
         for pdf in frames:
-            got = [client.generate(bytes(i), prompt) for i in pdf["image"]]
-            yield pd.DataFrame({"key": list(pdf["key"]), "text": [g[0] for g in got], "input_tokens": [g[1] for g in got], "output_tokens": [g[2] for g in got]})
+            rows = []
+            for key, image in zip(pdf["key"], pdf["image"], strict=True):
+                try:
+                    rows.append((key, *ask(bytes(image), prompt), None))
+                except Exception as e:  # noqa: BLE001 - whatever an engine raises is a failed page, not a failed job
+                    rows.append((key, "", 0, 0, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["key", "text", "input_tokens", "output_tokens", "error"])
+
+    misses = d.where("image is not null").join(known, "key", "left_anti").dropDuplicates(["key"]).select("key", "image")
+    misses.mapInPandas(run, ANSWER).write.parquet(f"{cache}/run={run_id}")
+    fresh = spark.read.schema(ANSWER).parquet(f"{cache}/run={run_id}")
+    answers = known.withColumn("cached", F.lit(True)).join(fresh.select("key"), "key", "left_anti").unionByName(fresh.withColumn("cached", F.lit(False)))
+    return d.drop("image").join(answers, "key").select("doc_id", "page", "key", "text", "input_tokens", "output_tokens", "cached", "error")
+
 
-    misses = d.join(known, "key", "left_anti").dropDuplicates(["key"]).select("key", "image")
-    fresh = misses.mapInPandas(run, "key string, text string, input_tokens int, output_tokens int")
-    answers = known.withColumn("cached", F.lit(True)).unionByName(fresh.withColumn("cached", F.lit(False)))
-    return d.drop("image").join(answers, "key").select("doc_id", "page", "key", "text", "input_tokens", "output_tokens", "cached")
+def stored_answers(spark: SparkSession, cache: str) -> DataFrame:
+    """The cache's answers that are hits, one to a key."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(cache)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], ANSWER)
+    return spark.read.schema(ANSWER).parquet(cache).where("text <> '' and error is null").dropDuplicates(["key"]).select("key", "text", "input_tokens", "output_tokens", "error")
 
 
 def cache_status(keys: DataFrame, cache: DataFrame) -> DataFrame:
@@ -150,8 +208,7 @@ def cache_status(keys: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def with_retries(generate: Callable, retries: int = 3, delay: float = 1.0, transient: tuple[type[Exception], ...] = (OSError, TimeoutError), sleep: Callable[[float], None] | None = None) -> Callable:
-    """generate with repeats after transient errors and empty answers, waiting twice as long each time."""
-    import time
+    """generate with repeats after transient errors and empty answers, waiting twice as long each time, and up to twice that by chance."""
 
     def call(*args):
         wait = delay
@@ -163,7 +220,7 @@ def with_retries(generate: Callable, retries: int = 3, delay: float = 1.0, trans
             except transient:
                 if attempt == retries:
                     raise
-            (sleep or time.sleep)(wait)
+            (sleep or (lambda s: time.sleep(s * (1 + random.random()))))(wait)
             wait *= 2
 
     return call

@@ -35,15 +35,17 @@ def tokens(x: str) -> str:
     return f"greatest(1, length({x}) // 4)::int"
 
 
-_NUMBERED = "select source as doc_id, row_number() over (partition by source order by doc_id) - 1 as page, {} from documents where doc_id is not null and source is not null"
-
-PAGES = f"""
+#: Documents by line; four lines are a page.
+DOCS = """
+docs as (select doc_id::varchar as doc_id, doc_id as k, string_split(text, chr(10)) as l from documents where doc_id is not null and text is not null)"""
+PAGES = f"""{DOCS},
+cut as (
+  select doc_id, k, p as page, array_to_string(l[4 * p + 1 : 4 * p + 4], chr(10)) as t, false as short from (select *, unnest(range(0, (len(l) + 3) // 4)) as p from docs)
+  union all select doc_id, k, (len(l) + 3) // 4, 'Short page', true from docs where k % 40 = 2),
 pages as (
-  select doc_id, page, 595.0 as width, 842.0 as height,
-    case k % 40 when 0 then text || {_codes(JUNK_SAMPLE)} when 1 then text || {_codes(MARK_SAMPLE)} when 2 then substr(text, 1, 30) else text end as text,
-    case k % 11 when 0 then 595.0 * 700 when 1 then 10000.0 end as image, 448.0 * (len(string_split(text, chr(10))) * 12) as block,
-    case when k % 40 = 2 then (k % 3) * 80 else 5 end as n_drawings
-  from ({_NUMBERED.format("text, doc_id as k")}))"""
+  select doc_id, page::int as page, 595.0 as width, 842.0 as height, case (k + page) % 40 when 0 then t || {_codes(JUNK_SAMPLE)} when 1 then t || {_codes(MARK_SAMPLE)} else t end as text,
+    case (k + page) % 11 when 0 then 595.0 * 700 when 1 then 10000.0 end as image, 448.0 * (len(string_split(t, chr(10))) * 12) as block, case when short then (k % 3) * 80 else 5 end as n_drawings
+  from cut)"""
 
 MARKS = r"[\p{Mn}\p{Mc}]"
 ANY_SCRIPT = r"[\x{300}-\x{36f}\x{1ab0}-\x{1aff}\x{1dc0}-\x{1dff}\x{20d0}-\x{20ff}\x{fe20}-\x{fe2f}]"
@@ -65,8 +67,7 @@ scores as (
   select p.doc_id, p.page, {count(compact("p.text"), JUNK)}::int as junk, coalesce(o.n, 0)::int as orphans, coalesce(s.n, 0)::int as symbols, length({compact("p.text")}) as compact
   from pages p left join orphan o using (doc_id, page) left join sym s using (doc_id, page))"""
 
-PROFILES = f"""
-raw as ({PAGES.strip().removeprefix("pages as (").rstrip(")")})),
+PROFILES = f"""{PAGES.replace("pages as (", "raw as (")},
 pages as (select * replace ({strip("coalesce(text, '')")} as text) from raw),
 {SCORES.strip()},
 profiles as (
@@ -75,7 +76,6 @@ profiles as (
     round_even(coalesce(image, 0) / (595.0 * 842.0)::double, 3)::double as max_image_coverage, round_even(least(1.0, block / (595.0 * 842.0)::double), 3)::double as text_bbox_area_frac,
     case when length(p.text) < 50 then n_drawings end::int as vector_segments
   from pages p join scores s using (doc_id, page))"""
-PROFILES = PROFILES.replace("from documents where doc_id is not null and source is not null)),", "from documents where doc_id is not null and source is not null)),", 1)
 
 ROUTES = """
 judged as (
@@ -91,19 +91,18 @@ routes as (
       else [printf('little text: %d characters', text_chars)] end as reasons
   from judged)"""
 
-UNITS = f"""
-numbered as ({_NUMBERED.format("text")} and text is not null),
-ln as (select doc_id, page, i - 1 as i, t[i] as line from (select doc_id, page, string_split(text, chr(10)) as t, unnest(range(1, len(string_split(text, chr(10))) + 1)) as i from numbered)),
+LINES = """
+ln as (select doc_id, i // 4 as page, i, l[i + 1] as line from (select *, unnest(range(0, len(l))) as i from docs))"""
+UNITS = f"""{DOCS},{LINES},
 units as (
-  select doc_id, page, (page * 100000 + 1 + i)::bigint as seq, 72.0 + 14 * (i % 50) as y0, 72.0 + 14 * (i % 50) + 12 as y1,
-    case when i % 6 = 0 then 'title' when i % 17 = 5 then 'figure' else 'text' end as type,
-    case when i % 6 = 0 then case i % 4 when 0 then (i // 6 + 1) || '. ' || substr(line, 1, 30) when 2 then (i // 6 + 1) || '.2 ' || substr(line, 1, 30) else substr(line, 1, 30) end
-      when i % 17 = 5 then '' else line end as content,
-    case when i % 6 = 0 and page % 5 = 3 and i % 12 = 0 then 1 + i % 4 end as level, case when i % 6 = 0 then 18.0 - 2 * (length(line) % 3) end as font_size,
-    case when i % 6 <> 0 and i % 17 = 5 then printf('figures/p%04d_f%02d.png', page, i) end as storage_key, case when page % 5 = 3 then 'gemini' else 'pymupdf' end as source
+  select doc_id, page, (page * 1000 + 2 + 2 * (i % 4))::bigint as seq, 72.0 + 14 * (i % 50) as y0, 72.0 + 14 * (i % 50) + 12 as y1, case when i % 6 = 0 then 'title' else 'text' end as type,
+    case when i % 6 = 0 then case i % 4 when 0 then (i // 6 + 1) || '. ' || line when 2 then (i // 6 + 1) || '.2 ' || line else line end else line end as content,
+    case when i % 6 = 0 and page % 5 = 3 and i % 12 = 0 then 1 + i % 4 end as level, case when i % 6 = 0 then 18.0 - 2 * (length(line) % 3) + [0.0, 0.4, -0.4, 0.5][i % 4 + 1] end as font_size,
+    null::varchar as storage_key, case when page % 5 = 3 then 'gemini' else 'pymupdf' end as source
   from ln
-  union all select distinct doc_id, page, (page * 100000)::bigint, 20.0, 32.0, 'text', 'Report ' || doc_id || '  page ' || page, null, null, null, case when page % 5 = 3 then 'gemini' else 'pymupdf' end from ln
-  union all select distinct doc_id, page, (page * 100000 + 99999)::bigint, 820.0, 832.0, 'text', 'Confidential', null, null, null, case when page % 5 = 3 then 'gemini' else 'pymupdf' end from ln where page % 2 = 0)"""
+  union all select doc_id, page, (page * 1000 + 3 + 2 * (i % 4))::bigint, 72.0 + 14 * (i % 50) + 13, 72.0 + 14 * (i % 50) + 25, 'figure', '', null, null, printf('figures/p%04d_f%02d.png', page, i), case when page % 5 = 3 then 'gemini' else 'pymupdf' end from ln where i % 17 = 5
+  union all select distinct doc_id, page, (page * 1000)::bigint, 20.0, 32.0, 'text', 'Report ' || doc_id || '  page ' || page, null, null, null, case when page % 5 = 3 then 'gemini' else 'pymupdf' end from ln
+  union all select distinct doc_id, page, (page * 1000 + 999)::bigint, 820.0, 832.0, 'text', 'Confidential', null, null, null, case when page % 5 = 3 then 'gemini' else 'pymupdf' end from ln where page % 2 = 0)"""
 
 NORM = rf"regexp_replace({collapse('lower(content)')}, '\p{{Nd}}+', '#', 'g')"
 FURNITURE = rf"""
@@ -122,14 +121,32 @@ def levels(of: str, out: str) -> str:
 {out} as (
   select u.* replace (case when type = 'title' then least(6, coalesce(level, dep, rk, 1)) else level end::int as level) from (
     select *, case when regexp_extract(content, '^(\p{{Nd}}+(?:\.\p{{Nd}}+)*)\.?{WS}', 1) <> '' then len(regexp_extract_all(regexp_extract(content, '^(\p{{Nd}}+(?:\.\p{{Nd}}+)*)\.?{WS}', 1), '\.')) + 1 end as dep,
-      case when type = 'title' and font_size > 0 then dense_rank() over (partition by doc_id, source, type = 'title' and coalesce(font_size, 0) > 0 order by font_size desc nulls last) end as rk from {of}) u)"""
+      case when type = 'title' and font_size > 0 then dense_rank() over (partition by doc_id, source, type = 'title' and coalesce(font_size, 0) > 0 order by round_even(font_size, 0) desc nulls last) end as rk from {of}) u)"""
 
 
-FRAGMENTS = """
-cust as (
-  select n_name as doc_id, row_number() over (partition by n_name order by c_custkey) - 1 as n, [c_name, c_mktsegment, c_custkey::varchar] as row from customer join nation on c_nationkey = n_nationkey),
+_CUSTOMERS = "select n_name || ' ' || (c_custkey // 500) as doc_id, row_number() over (partition by n_name, c_custkey // 500 order by {}) - 1 as n, c_name, c_mktsegment, c_custkey from customer join nation on c_nationkey = n_nationkey"
+FRAGMENTS = f"""
+cust as (select *, [c_name, c_mktsegment, c_custkey::varchar] as row from ({_CUSTOMERS.format("c_custkey")})),
 fragments as (
   select doc_id, (n // 10)::int as page, 72.0 as y0, case when (n // 10) % 4 = 3 then 500.0 else 800.0 end as y1, list_concat([['name', 'segment', 'key']], list(row order by n)) as cells from cust group by doc_id, n // 10)"""
+#: Rows of the spanned tables one by one: the header of a chain's first page, then data; h is a page's rows of header.
+SPANNED = f"""
+sc as (select *, n // 10 as page, n // 40 as chain, n % 10 as j from ({_CUSTOMERS.format("c_mktsegment, c_custkey")})),
+sp as (select doc_id, page, chain, case when page % 4 = 0 or page % 3 in (1, 2) then 1 else 0 end as h, count(*) as size from sc group by all),
+sl as (select doc_id, page, c_mktsegment as last from sc where j = 9),
+sr as (
+  select sc.doc_id, sc.chain, 1 + n - 40 * sc.chain as r, case when sc.page % 4 <> 0 and c_mktsegment = sl.last then '' else c_mktsegment end as v, c_name, c_custkey, j = 0 and sc.page % 4 <> 0 as begins
+  from sc left join sl on sl.doc_id = sc.doc_id and sl.page = sc.page - 1
+  union all select distinct doc_id, chain, 0, 'segment', 'name', null, false from sc),
+walked as (
+  select doc_id, chain, r, v as w, null::varchar as above, false as act, null::varchar as val from sr where r = 0
+  union all
+  select s.doc_id, s.chain, s.r, case when s.v = '' and a.act then a.val else s.v end, a.w, a.act and s.v = '', a.val
+  from (select w.doc_id, w.chain, s.r, s.v, w.w, case when s.begins then s.r >= 2 and w.w <> '' and w.above is not distinct from w.w else w.act end as act, case when s.begins then w.w else w.val end as val
+    from walked w join sr s on s.doc_id = w.doc_id and s.chain = w.chain and s.r = w.r + 1) a join sr s on s.doc_id = a.doc_id and s.chain = a.chain and s.r = a.r),
+sm as (
+  select doc_id, chain, page, unnest(case when page % 4 = 0 then ['0-0-1-2', '0-2-2-1', '1-0-2-1'] when h = 0 then [(1 + 10 * (page % 4)) || '-0-2-1'] else [(1 + 10 * (page % 4)) || '-2-1-1', (1 + 10 * (page % 4)) || '-0-2-1'] end) as m,
+    unnest(range(0, case when page % 4 = 0 then 3 when h = 0 then 1 else 2 end)) as i from sp)"""
 CHAINS = """
 linked as (
   select *, lag(page) over w as p0, lag(y1) over w as z0 from fragments window w as (partition by doc_id order by page)),
@@ -154,12 +171,14 @@ ROW = r"^[\s\x{85}\p{Z}]*\|.*\|[\s\x{85}\p{Z}]*$"
 DELIMITER = r"^[\s\x{85}\p{Z}]*\|([\s\x{85}\p{Z}]*:?-+:?[\s\x{85}\p{Z}]*\|)+[\s\x{85}\p{Z}]*$"
 BREAK = r"\r\n|[\n\r\x{b}\x{c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 RESPONSES = r"""
+turns as (select * from conversations where conv_id is not null and turn is not null),
 responses as (
   select conv_id as doc_id, turn::int as page, case when turn % 3 = 0 then length(coalesce(text, '')) end as text_layer_chars,
     case turn % 4 when 0 then '# ' || coalesce(role, '') || ' one' || chr(10) || coalesce(text, '')
       when 1 then '| a | b\|c |' || chr(10) || '|---|:-:|' || chr(10) || '| ' || coalesce(role, '') || ' | ' || turn || ' |' || chr(10) || chr(10) || coalesce(text, '')
-      when 2 then coalesce(text, '') || chr(10) || chr(10) || '## part' || chr(10) || '| lone row |' || chr(10) || '[ILLEGIBLE]' else '' end as markdown
-  from conversations where conv_id is not null and turn is not null)"""
+      when 2 then coalesce(text, '') || chr(10) || chr(10) || '## part' || chr(10) || '| lone row |' || chr(10) || '[ILLEGIBLE]' else coalesce(text, '') end as markdown
+  from turns
+  union all select conv_id, (turn + 1000000)::int, case when turn % 3 = 0 then length(coalesce(text, '')) end, '' from turns where turn % 8 = 3)"""
 BLOCKS = rf"""
 mdl as (
   select doc_id, page, ln, l[ln] as line from (select doc_id, page, regexp_split_to_array(markdown, '{BREAK}') as l, unnest(range(1, len(regexp_split_to_array(markdown, '{BREAK}')) + 1)) as ln from responses)
@@ -194,7 +213,7 @@ checked as (
 
 WALK = f"""
 items as (
-  select doc_id, type as kind, page, y0, content, level, storage_key, source, null as table_id, null as pages, null as cells, null as markdown, 0 as k, seq, '' as t from leveled
+  select doc_id, type as kind, page::int as page, y0::double as y0, content, level, storage_key, source, null::varchar as table_id, null::int[] as pages, null::varchar[][] as cells, null::varchar as markdown, 0 as k, seq, '' as t from leveled
   union all select doc_id, 'table', first, 72.0, '', null, null, 'pymupdf', table_id, pages, cells, markdown, 1, 0, table_id from tables),
 walk as (select *, row_number() over (partition by doc_id order by page, y0, k, seq, t) - 1 as pos from items)"""
 _LAST = ", ".join(f"max(case when kind = 'title' and greatest(1, coalesce(level, 1)) = {k} then {{'p': pos, 'c': content}} end) over w as h{k}" for k in range(1, 7))
@@ -217,23 +236,42 @@ def _embed(x: str) -> str:
     return EMBED.format(CRUMB, x, x)
 
 
+#: Characters of a piece: a token is four of them, and a piece has at most 512.
+ROOM = 4 * 512 + 3
+
+
+def _cut_after(x: str) -> str:
+    """A mark (U+E000) where a sentence ends: after one blank that follows its end, before what is not blank. Two passes find ends that
+    touch; the mark is no blank and no beginning."""
+    return rf"regexp_replace({x}, '([.!?][\s\p{{Z}}])([^\s\p{{Z}}\x{{e000}}])', '\1' || chr(57344) || '\2', 'g')"
+
+
 CHUNKS = f"""
-piece as (select *, {strip("text")} as content from sections),
+sent as (
+  select doc_id, emit, unnest(range(1, len(s) + 1)) as i, unnest(s) as s, length(text) > {ROOM} as long
+  from (select *, string_split({_cut_after(_cut_after("text"))}, chr(57344)) as s from sections)),
+filled as (
+  select doc_id, emit, i, length(s) as open, 0 as p from sent where i = 1 and long
+  union all
+  select s.doc_id, s.emit, s.i, case when f.open = 0 or f.open + length(s.s) <= {ROOM} then f.open + length(s.s) else length(s.s) end, case when f.open = 0 or f.open + length(s.s) <= {ROOM} then f.p else f.p + 1 end
+  from filled f join sent s on s.doc_id = f.doc_id and s.emit = f.emit and s.i = f.i + 1),
+joined as (
+  select s.doc_id, s.emit, coalesce(f.p, 0) as p, {strip("string_agg(s.s, '' order by s.i)")} as content from sent s left join filled f using (doc_id, emit, i) group by s.doc_id, s.emit, coalesce(f.p, 0)),
+piece as (
+  select x.*, j.content, row_number() over (partition by x.doc_id, x.emit order by j.p) - 1 as part from sections x join joined j on j.doc_id = x.doc_id and j.emit = x.emit where j.content <> ''),
 grp as (
   select p.*, unnest(range(0, greatest(len(cells) - 1, 0), 20)) as a from paths p where kind = 'table'),
 rows_ as (select *, list_concat(cells[1:1], cells[a + 2 : a + 21]) as part from grp),
 tab as (select *, {markdown("part")} as content_ from rows_),
 made as (
-  select doc_id, emit, 0 as rank, 0 as part, 'text' as type, content, {_embed("content")} as embedding_text, pages, source, {tokens("content")} + case when len(headings) > 0 then {tokens(CRUMB)} else 0 end as token_count, null as table_id, null as storage_key
+  select doc_id, emit, 0 as rank, part, 'text' as type, content, {_embed("content")} as embedding_text, pages, source, {tokens("content")} + case when len(headings) > 0 then {tokens(CRUMB)} else 0 end as token_count, null::varchar as table_id, null::varchar as storage_key
   from piece where content <> ''
   union all select doc_id, pos, 1, 0, 'figure', '', e, (page + 1)::varchar, source, {tokens("e")}, null, storage_key from (select *, {_embed("printf('[figure on page %d]', page + 1)")} as e from paths where kind = 'figure')
   union all select doc_id, pos, 1, a, 'table', content_, e, array_to_string(list_transform(pages, lambda p: p + 1), '|'), 'pymupdf', {tokens("e")}, table_id, null from (select *, {_embed("content_")} as e from tab)),
 chunks as (select *, doc_id || printf('_c%04d', row_number() over (partition by doc_id order by emit, rank, part) - 1) as chunk_id, false as needs_review from made)"""
-EMPTY_TABLES = "tables as (select ''::varchar as doc_id, 0 as first, ''::varchar as table_id, [0] as pages, [['']] as cells, '' as markdown where false)"
-
 
 def _with(*parts: str, then: str) -> str:
-    return "with " + ",\n".join(p.strip().rstrip(",") for p in parts) + "\n" + then
+    return "with recursive " + ",\n".join(p.strip().rstrip(",") for p in parts) + "\n" + then
 
 
 _DOC = (UNITS, levels("units", "leveled"), FRAGMENTS, CHAINS, TABLES, WALK, PATHS)
@@ -243,10 +281,10 @@ broken as (
     when 4 then list_append(cells, ['a' || chr(1), chr(2367) || chr(2357), 'c']) else cells end as cells from fragments)"""
 _DEFECT = f"""
 marked as (
-  select * replace (content || case seq % 50 when 3 then chr(1) when 7 then {_codes(" िवभाग")} when 11 then ' [ILLEGIBLE]' else '' end as content) from units),
+  select * replace (content || case (7 * page + seq) % 50 when 3 then chr(1) when 7 then {_codes(" िवभाग")} when 11 then ' [ILLEGIBLE]' else '' end as content) from units),
 reasons as (
-  select *, case when source = 'pymupdf' and type in ('text', 'title') then case when seq % 50 = 3 then ['junk characters in native text'] when seq % 50 = 7 then ['marks without their letter in native text'] else [] end
-    when source = 'gemini' then list_concat(case when page % 5 = 3 and page % 2 = 0 then ['page reason'] else [] end, case when seq % 50 = 11 then ['region marked illegible'] else [] end) else [] end as reasons
+  select *, case when source = 'pymupdf' and type in ('text', 'title') then case when (7 * page + seq) % 50 = 3 then ['junk characters in native text'] when (7 * page + seq) % 50 = 7 then ['marks without their letter in native text'] else [] end
+    when source = 'gemini' then list_concat(case when page % 5 = 3 and page % 2 = 0 then ['page reason'] else [] end, case when (7 * page + seq) % 50 = 11 then ['region marked illegible'] else [] end) else [] end as reasons
   from marked)"""
 _OVERLAP = """
   case when least(ax1, bx1) > greatest(ax0, bx0) and least(ay1, by1) > greatest(ay0, by0)
@@ -255,12 +293,10 @@ BOXES = """
 boxes as (
   select l_orderkey as order_key, n::int as line, (l_partkey % 400)::double as ax0, (l_suppkey % 600)::double as ay0, (l_partkey % 400 + 50 + l_suppkey % 90)::double as ax1, (l_suppkey % 600 + 40)::double as ay1,
     (l_partkey % 397)::double as bx0, (l_suppkey % 590)::double as by0, (l_partkey % 397 + 80)::double as bx1, (l_suppkey % 590 + 30 + l_partkey % 50)::double as by1
-  from (select l_orderkey, l_partkey, l_suppkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as n from lineitem) where n <= 2)"""
-SPANS = f"""
-numbered as ({_NUMBERED.format("text")} and text is not null),
-ln as (select doc_id, page, i - 1 as i, t[i] as line from (select doc_id, page, string_split(text, chr(10)) as t, unnest(range(1, len(string_split(text, chr(10))) + 1)) as i from numbered)),
+  from (select l_orderkey, l_partkey, l_suppkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as n from lineitem))"""
+SPANS = f"""{DOCS},{LINES},
 full_ as (select *, case when i % 5 = 1 then '3.1 ' || line else line end as t, case when i % 7 = 0 then 14.0 else 10.0 end as size from ln),
-sp as (select doc_id, page, i, 0 as s, substr(t, 1, 10) as t, 9.0 as size, 0 as flags from full_ union all select doc_id, page, i, 1, substr(t, 11), size, case when i % 5 = 1 then 16 else 0 end from full_),
+sp as (select doc_id, page, i, 0 as s, substr(t, 1, 10) as t, 9.0::double as size, 0 as flags from full_ union all select doc_id, page, i, 1, substr(t, 11), size, case when i % 5 = 1 then 16 else 0 end from full_),
 sampled as (
   select sp.* from sp join (select doc_id, page, row_number() over (partition by doc_id order by page) - 1 as rn, count(*) over (partition by doc_id) as n from (select distinct doc_id, page from ln)) p using (doc_id, page)
   where rn % greatest(1, n // 60) = 0 and rn // greatest(1, n // 60) < 60),
@@ -268,12 +304,12 @@ sized as (select doc_id, round_even(size, 0) as size, sum(length({strip("t")}))
 body as (select d.doc_id, coalesce(b.size, 10.0)::double as body_size from (select distinct doc_id from ln) d left join (select * from sized qualify row_number() over (partition by doc_id order by chars desc, f) = 1) b using (doc_id)),
 dom as (select * from sp where {strip("t")} <> '' qualify row_number() over (partition by doc_id, page, i order by length(t) desc, s) = 1),
 lines as (
-  select f.doc_id, f.page, f.i, i // 3 + case when f.page % 3 = 0 then 1 else 0 end as block, {collapse("f.t")} as text, dom.size, dom.size >= body_size * 1.15 or (dom.flags & 16 <> 0 and regexp_matches({collapse("f.t")}, '^\\p{{Nd}}+(\\.\\p{{Nd}}+)*\\.?{WS}+[^\\s]')) as head
+  select f.doc_id, f.page, f.i, (f.i % 4) // 3 + case when f.page % 3 = 0 then 1 else 0 end as block, {collapse("f.t")} as text, dom.size, dom.size >= body_size * 1.15 or (dom.flags & 16 <> 0 and regexp_matches({collapse("f.t")}, '^\\p{{Nd}}+(\\.\\p{{Nd}}+)*\\.?{WS}+[^\\s]')) as head
   from full_ f join dom using (doc_id, page, i) join body using (doc_id) where {collapse("f.t")} <> ''),
 isl as (select *, sum(case when head then 1 else 0 end) over (partition by doc_id, page, block order by i rows unbounded preceding) as island from lines),
 made as (
-  select doc_id, page, block, i, 'title' as type, text as content, round_even(size, 1)::double as font_size, 72.0 + 14 * i as y0, 72.0 + 14 * i + 12 as y1 from isl where head
-  union all select doc_id, page, block, min(i), 'text', string_agg(text, ' ' order by i), null, min(72.0 + 14 * i), max(72.0 + 14 * i + 12) from isl where not head group by doc_id, page, block, island
+  select doc_id, page, block, i, 'title' as type, text as content, round_even(size, 1)::double as font_size, 72.0 + 14 * (i % 4) as y0, 72.0 + 14 * (i % 4) + 12 as y1 from isl where head
+  union all select doc_id, page, block, min(i), 'text', string_agg(text, ' ' order by i), null, min(72.0 + 14 * (i % 4)), max(72.0 + 14 * (i % 4) + 12) from isl where not head group by doc_id, page, block, island
   union all select distinct doc_id, page, 0, -1, 'figure', '', null::double, 100.0, 200.0 from ln where page % 3 = 0)"""
 
 SQL: dict[str, str] = {
@@ -284,7 +320,7 @@ SQL: dict[str, str] = {
     "text_layer_evidence": _with(PROFILES, ROUTES, then="select doc_id, page, case when text_chars >= 50 and max_image_coverage <= 0.70 then text_chars end as text_layer_chars from profiles join routes using (doc_id, page) where extractor = 'vlm'"),
     "text_scores": _with(PAGES, SCORES, then="select doc_id, page, junk, orphans, symbols, case when compact > 0 then junk / compact else 0.0 end as junk_ratio, case when compact > 0 then (orphans + symbols) / compact else 0.0 end as mojibake_ratio from scores"),
     "text_forms": _with(UNITS, then=rf"select doc_id, seq, {NORM} as furniture, case when regexp_extract(content, '^(\p{{Nd}}+(?:\.\p{{Nd}}+)*)\.?{WS}', 1) <> '' then len(regexp_extract_all(regexp_extract(content, '^(\p{{Nd}}+(?:\.\p{{Nd}}+)*)\.?{WS}', 1), '\.')) + 1 end::int as depth, regexp_matches(content, '^\p{{Nd}}+(\.\p{{Nd}}+)*\.?{WS}+[^\s\x{{b}}\x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]') as numbered, {tokens('content')} as tokens, substr(content, 1, 120) as excerpt, replace(content, '|', '\|') as escaped, {collapse('content')} as collapsed from units"),
-    "page_sample": _with(PAGES, then="select doc_id, page from (select doc_id, page, row_number() over (partition by doc_id order by page) - 1 as rn, count(*) over (partition by doc_id) as n from pages) where rn % greatest(1, n // 7) = 0 and rn // greatest(1, n // 7) < 7"),
+    "page_sample": _with(PAGES, then="select doc_id, page from (select doc_id, page, row_number() over (partition by doc_id order by page) - 1 as rn, count(*) over (partition by doc_id) as n from pages) where rn % greatest(1, n // 60) = 0 and rn // greatest(1, n // 60) < 60"),
     "body_font_size": _with(SPANS, then="select * from body"),
     "native_units": _with(SPANS, then="select doc_id, page, row_number() over (partition by doc_id, page order by block, i) - 1 as seq, type, content, font_size, case when type = 'figure' then printf('figures/p%04d_f%02d.png', page, 0) end as storage_key, y0::double as y0, y1::double as y1 from made"),
     "drawing_units": _with(PROFILES, ROUTES, then="select doc_id, page, printf('figures/p%04d_page.png', page) as storage_key, 595.0::double as x1, 842.0::double as y1 from routes where extractor = 'drawing'"),
@@ -316,7 +352,7 @@ select doc_id, page, (r - 1)::int as r, (c - 1)::int as c, replace({strip("row[c
     "units_outside_tables": _with(UNITS, then="select doc_id, seq, type from units where not (type in ('text', 'title') and source <> 'gemini' and page % 3 = 0 and (y0 + y1) / 2 between 200 and 400)"),
     "heading_levels": _with(UNITS, levels("units", "leveled"), then="select doc_id, seq, content, level from leveled where type = 'title'"),
     "figure_dedup": _with(UNITS, then="""
-, d as (select doc_id, storage_key, min(seq) % 10 as digest from units where type = 'figure' and seq % 4 <> 0 group by all)
+, d as (select doc_id, storage_key, min(seq) % 10 as digest from units where type = 'figure' and (page + seq) % 4 <> 0 group by all)
 select doc_id, seq, type from (select u.doc_id, seq, page, type, digest, row_number() over (partition by u.doc_id, digest order by page, seq) as n from units u left join d using (doc_id, storage_key)) where type <> 'figure' or digest is null or n = 1""".strip()).replace(")\n, d as", "),\nd as"),
     "pixel_boxes_to_points": _with(BOXES, then="""
 , t as (
@@ -331,16 +367,28 @@ select order_key, line, case when x0 < x1 and y0 < y1 then x0 end::double as x0,
   select (order_key % 40)::varchar as doc_id, (order_key // 40)::int as page, line as seq, round_even(floor(ax0 / 80) * 8, 0) as k0, round_even(floor(ay0 / 90) * 9, 0) as k1, case when (order_key // 40) % 4 = 0 then 'find_tables' else 'yolo_only' end as source from boxes),
 f as (select doc_id, k0, k1 from r where source = 'yolo_only' group by all having count(distinct page) >= 3)
 select doc_id, page, seq, source from r where not (source = 'yolo_only' and exists (select 1 from f where f.doc_id = r.doc_id and f.k0 = r.k0 and f.k1 = r.k1))""".strip()).replace(")\n, r as", "),\nr as"),
-    "borderless_suspects": _with(BOXES, then=f"""
-, g as (select (order_key % 40)::varchar as doc_id, (order_key // 40)::int as page, line, ax0, ay0, ax1, ay1, bx0, by0, bx1, by1 from boxes),
+    "borderless_suspects": _with(BOXES, f"""
+g as (select (order_key % 40)::varchar as doc_id, (order_key // 40)::int as page, line, ax0, ay0, ax1, ay1, bx0, by0, bx1, by1 from boxes),
 free as (
-  select a.doc_id, a.page, a.line, a.ax0, a.ay0, a.ax1, a.ay1 from g a where not exists (
-    select 1 from (select doc_id as d, page as p, bx0, by0, bx1, by1 from g where line = 1) f where f.d = a.doc_id and f.p = a.page and {_OVERLAP.replace("bx", "f.bx").replace("by", "f.by").replace("ax", "a.ax").replace("ay", "a.ay")} > 0.3))
-select doc_id, page, line::bigint as seq, ax0 as x0, ay0 as y0, ax1 as x1, ay1 as y1 from free x where line = 1 or not exists (
-  select 1 from (select doc_id as d, page as p, ax0 as bx0, ay0 as by0, ax1 as bx1, ay1 as by1 from free where line = 1) f where f.d = x.doc_id and f.p = x.page and {_OVERLAP.replace("bx", "f.bx").replace("by", "f.by").replace("ax", "x.ax").replace("ay", "x.ay")} > 0.3)""".strip()).replace(")\n, g as", "),\ng as"),
+  select a.doc_id, a.page, a.line, {{'line': a.line, 'x0': a.ax0, 'y0': a.ay0, 'x1': a.ax1, 'y1': a.ay1}} as box, row_number() over (partition by a.doc_id, a.page order by a.line) as n from g a where not exists (
+    select 1 from (select doc_id as d, page as p, bx0, by0, bx1, by1 from g where line = 1) f where f.d = a.doc_id and f.p = a.page and {_OVERLAP.replace("bx", "f.bx").replace("by", "f.by").replace("ax", "a.ax").replace("ay", "a.ay")} > 0.3)),
+taken as (
+  select doc_id, page, n, [box] as boxes from free where n = 1
+  union all select f.doc_id, f.page, f.n, case when len(list_filter(t.boxes, lambda b: {_OVERLAP.replace("bx", "b.x").replace("by", "b.y").replace("ax", "f.box.x").replace("ay", "f.box.y")} > 0.3)) > 0 then t.boxes else list_append(t.boxes, f.box) end
+  from taken t join free f on f.doc_id = t.doc_id and f.page = t.page and f.n = t.n + 1)""",
+        then="select doc_id, page, b.line::bigint as seq, b.x0 as x0, b.y0 as y0, b.x1 as x1, b.y1 as y1 from (select doc_id, page, unnest(boxes) as b from taken qualify row_number() over (partition by doc_id, page order by n desc) = 1)"),
     "table_chains": _with(FRAGMENTS, CHAINS, then="select doc_id, page, 0::bigint as seq, chain::int as chain, link::int as link from chains"),
     "table_ids": _with(FRAGMENTS, CHAINS, then="select doc_id, chain::int as chain, printf('t%04d_%02d', first, row_number() over (partition by doc_id, first order by chain) - 1) as table_id, pages, fragments from (select doc_id, chain, min(page) as first, array_to_string(list(page order by page), '|') as pages, count(*) as fragments from chains group by doc_id, chain)"),
     "stitched_tables": _with(FRAGMENTS, CHAINS, TABLES, then="select doc_id, table_id, array_to_string(pages, '|') as pages, len(cells)::int as row_count, 3 as col_count, markdown, 'find_tables' as source, 1 as header_rows from tables"),
+    "table_grid": _with(FRAGMENTS, CHAINS, TABLES, """
+gl as (select doc_id, table_id, unnest(cells) as row, unnest(range(0, len(cells))) as i from tables),
+gw as (select doc_id, table_id, greatest(3, max(length(row[1]))) as a, greatest(3, max(length(row[2]))) as b, greatest(3, max(length(row[3]))) as c from gl group by all),
+gr as (select *, '+' || repeat('-', a + 2) || '+' || repeat('-', b + 2) || '+' || repeat('-', c + 2) || '+' as rule from gw)""",
+        then="select doc_id, table_id, any_value(rule) || chr(10) || string_agg('| ' || rpad(row[1], a::int, ' ') || ' | ' || rpad(row[2], b::int, ' ') || ' | ' || rpad(row[3], c::int, ' ') || ' |' || chr(10) || rule, chr(10) order by i) as grid from gl join gr using (doc_id, table_id) group by doc_id, table_id"),
+    "stitched_spans": _with(SPANNED, """
+sj as (select w.doc_id, w.chain, string_agg(case when w.r = 0 then 'segment,name,key' else w.w || ',' || s.c_name || ',' || s.c_custkey end, ';' order by w.r) as cells from walked w join sr s using (doc_id, chain, r) group by w.doc_id, w.chain),
+sn as (select doc_id, chain, string_agg(m, ';' order by page, i) as merges from sm group by doc_id, chain)""",
+        then="select doc_id, printf('t%04d_%02d', 4 * chain, 0) as table_id, cells, merges from sj join sn using (doc_id, chain)"),
     "table_markdown": _with(FRAGMENTS, then=f"select doc_id, page, {markdown('cells')} as markdown from fragments"),
     "table_validation": _with(FRAGMENTS, _BROKEN, then=f"""
 select doc_id, page, case when len(cells) < 2 then 'fewer than 2 rows'
@@ -353,6 +401,7 @@ select doc_id, page, case when len(cells) < 2 then 'fewer than 2 rows'
     "heading_paths": _with(*_DOC, then=f"select doc_id, pos::int as pos, kind, {CRUMB} as crumb from paths"),
     "section_text": _with(*_DOC, SECTIONS, then=f"select doc_id, emit::int as emit, text, pages, source, needs_review, {CRUMB} as crumb from sections"),
     "all_chunks": _with(*_DOC, SECTIONS, CHUNKS, then="select chunk_id, type, content, embedding_text, pages, source, needs_review, token_count::int as token_count, table_id, storage_key from chunks"),
+    "text_pieces": _with(*_DOC, SECTIONS, CHUNKS, then="select chunk_id, content, embedding_text, token_count::int as token_count from chunks where type = 'text'"),
     "table_row_groups": _with(*_DOC, SECTIONS, CHUNKS, then="select doc_id, table_id, content, pages, token_count::int as token_count from chunks where type = 'table'"),
     "merged_markdown": _with(*_DOC, then="select doc_id, string_agg(case kind when 'title' then chr(10) || repeat('#', greatest(1, coalesce(level, 1))) || ' ' || content || chr(10) when 'text' then content || chr(10) when 'figure' then chr(10) || '![figure](' || storage_key || ')' || chr(10) else chr(10) || markdown || chr(10) end, '' order by pos) as markdown from paths group by doc_id"),
 }
@@ -377,24 +426,24 @@ from (select distinct doc_id from units) d left join rdoc using (doc_id)""".stri
 
 
 def _side(units: str, mark: str) -> str:
-    """The chunk CTEs over `units` without tables, under names of their own."""
-    names = "items|walk|tops|paths|s1|sections|piece|grp|rows_|tab|made|chunks|tables|leveled"
-    parts = [EMPTY_TABLES, f"leveled as (select * from {units})", WALK, PATHS, SECTIONS, CHUNKS]
+    """The chunk CTEs over `units`, under names of their own."""
+    names = "items|walk|tops|paths|s1|sections|sent|filled|joined|piece|grp|rows_|tab|made|chunks|leveled"
+    parts = [f"leveled as (select * from {units})", WALK, PATHS, SECTIONS, CHUNKS]
     return re.sub(rf"\b({names})\b", rf"\1_{mark}", ",\n".join(p.strip() for p in parts))
 
 
 _SIG = "select doc_id, type, " + collapse("content") + " as content, pages, needs_review from chunks_"
 SQL["chunk_diff"] = _with(
-    UNITS, FURNITURE, STRIPPED, levels("units", "lev_a"), levels("stripped", "lev_b"), _side("lev_a", "a"), _side("lev_b", "b"),
+    UNITS, FURNITURE, STRIPPED, FRAGMENTS, CHAINS, TABLES, levels("units", "lev_a"), levels("stripped", "lev_b"), _side("lev_a", "a"), _side("lev_b", "b"),
     then=f"""
 select side, doc_id, type, content, pages, needs_review, count(*) as n from (
   select 'a' as side, * from ({_SIG}a except all {_SIG}b) union all select 'b', * from ({_SIG}b except all {_SIG}a)) group by all""".strip(),
 )
 SQL["manifest"] = _with(
-    PROFILES.replace("pages as (", "pages_ as (").replace("from pages p", "from pages_ p").replace("from pages where", "from pages_ where").replace("from pages)", "from pages_)"), ROUTES, *_DOC, SECTIONS, CHUNKS, _DEFECT,
+    PROFILES, ROUTES, UNITS.replace(DOCS + ",", ""), *_DOC[1:], SECTIONS, CHUNKS, _DEFECT,
     """
 mr as (
-  select doc_id, count(*) as page_count, count(*) filter (extractor = 'native') as pages_native, count(*) filter (extractor = 'vlm') as pages_vlm, count(*) filter (extractor = 'drawing') as pages_drawing from routes group by doc_id),
+  select doc_id, count(*) as page_count, string_agg(page || ':' || extractor, '|' order by page) as page_routes, count(*) filter (extractor = 'native') as pages_native, count(*) filter (extractor = 'vlm') as pages_vlm, count(*) filter (extractor = 'drawing') as pages_drawing from routes group by doc_id),
 mu as (select doc_id, count(*) filter (type = 'title') as units_title, count(*) filter (type = 'text') as units_text, count(*) filter (type = 'table') as units_table, count(*) filter (type = 'figure') as units_figure from units group by doc_id),
 mv as (
   select doc_id, count(*) as vlm_pages, count(*) filter (page % 10 = 3) as vlm_cached, sum(case when page % 10 <> 3 then 100 else 0 end)::bigint as input_tokens, sum(case when page % 10 <> 3 then page % 7 else 0 end)::bigint as output_tokens
@@ -404,6 +453,6 @@ mi as (select doc_id, count(*) as review_items from reasons where len(reasons) >
     then="""
 select doc_id, 'ok' as status, page_count, pages_native, pages_vlm, pages_drawing, coalesce(units_title, 0) as units_title, coalesce(units_text, 0) as units_text, coalesce(units_table, 0) as units_table, coalesce(units_figure, 0) as units_figure,
   coalesce(vlm_pages, 0) as vlm_pages, coalesce(vlm_cached, 0) as vlm_cached, coalesce(input_tokens, 0) as input_tokens, coalesce(output_tokens, 0) as output_tokens, 0::bigint as tables, coalesce(chunks, 0) as chunks, coalesce(review_items, 0) as review_items,
-  '' as multi_page, '' as tables_review, '' as chunks_review
+  page_routes, '' as multi_page, '' as tables_review, '' as chunks_review
 from mr left join mu using (doc_id) left join mv using (doc_id) left join mc using (doc_id) left join mi using (doc_id)""".strip(),
 )

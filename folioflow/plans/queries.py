@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.config import Chunking, Config
+from folioflow.config import Config
 from folioflow.functions import geometry as G
 from folioflow.functions import text as T
 from folioflow.operators import chunks as C
@@ -20,8 +20,6 @@ from folioflow.operators import transcripts as V
 from folioflow.sources import tables as S
 
 Query = Callable[[SparkSession, str], DataFrame]
-#: No section is cut at this size, so that the SQL twin needs no splitter.
-WHOLE = Chunking(size_tokens=1 << 28)
 
 
 def _list(c: Column | str) -> Column:
@@ -63,7 +61,7 @@ def text_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.page_sample(S.pages_in(spark, sf_dir).select("doc_id", "page"), 7)
+    return X.page_sample(S.pages_in(spark, sf_dir).select("doc_id", "page"), Config().native.font_pages)
 
 
 def body_font_size(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +148,7 @@ def heading_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def figure_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = S.units_in(spark, sf_dir)
     digest = F.sha2(F.encode((F.col("seq") % 10).cast("string"), "UTF-8"), 256)
-    d = u.where("type = 'figure' and seq % 4 <> 0").groupBy("doc_id", "storage_key").agg(F.min("seq").alias("seq")).select("doc_id", "storage_key", digest.alias("digest"))
+    d = u.where("type = 'figure' and (page + seq) % 4 <> 0").groupBy("doc_id", "storage_key").agg(F.min("seq").alias("seq")).select("doc_id", "storage_key", digest.alias("digest"))
     return N.figure_dedup(u, d).select("doc_id", "seq", "type")
 
 
@@ -204,6 +202,13 @@ def table_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tables(spark, sf_dir).select("doc_id", "table_id", "grid")
 
 
+def stitched_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables with repeated headers to be told in spite of slips, merged cells to be moved, and spans over page breaks to be filled."""
+    d = TB.build_tables(TB.chains(S.spanned_fragments_in(spark, sf_dir)))
+    merge = lambda m: F.concat_ws("-", m["row"], m["col"], m["rowspan"], m["colspan"])
+    return d.select("doc_id", "table_id", F.array_join(F.transform("cells", lambda r: F.array_join(r, ",")), ";").alias("cells"), F.array_join(F.transform("merges", merge), ";").alias("merges"))
+
+
 def table_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.fragments_in(spark, sf_dir).select("doc_id", "page", T.cells_markdown(F.col("cells")).alias("markdown"))
 
@@ -243,7 +248,7 @@ def unmerged_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _reviewed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Units with defects by number, and pages of the paid lane with reasons."""
     u = S.units_in(spark, sf_dir)
-    k = F.col("seq") % 50
+    k = (7 * F.col("page") + F.col("seq")) % 50
     c = F.when(k == 3, F.concat("content", F.lit("\x01"))).when(k == 7, F.concat("content", F.lit(" िवभाग"))).when(k == 11, F.concat("content", F.lit(" [ILLEGIBLE]"))).otherwise(F.col("content"))
     pages = u.select("doc_id", "page").distinct().where("page % 5 = 3")
     pages = pages.select("doc_id", "page", F.when(F.col("page") % 2 == 0, F.array(F.lit("page reason"))).otherwise(F.array().cast("array<string>")).alias("review_reasons"))
@@ -262,7 +267,7 @@ def review_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def review_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     u, p = _reviewed(spark, sf_dir)
-    return R.review_report(R.review_items(u, p, R.gate_tables(_tables(spark, sf_dir).where("false"))), u)
+    return R.review_report(R.review_items(u, p, R.gate_tables(_tables(spark, sf_dir))), u)
 
 
 def _walk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,7 +287,7 @@ def section_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = C.chunks(_walk(spark, sf_dir), WHOLE)
+    d = C.chunks(_walk(spark, sf_dir))
     return d.select("chunk_id", "type", "content", "embedding_text", _list("pages").alias("pages"), "source", "needs_review", "token_count", "table_id", "storage_key")
 
 
@@ -292,7 +297,7 @@ def text_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_row_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = C.chunks(_walk(spark, sf_dir), WHOLE)
+    d = C.chunks(_walk(spark, sf_dir))
     return d.where("type = 'table'").select("doc_id", "table_id", "content", _list("pages").alias("pages"), "token_count")
 
 
@@ -303,9 +308,9 @@ def merged_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chunk_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks with and without page furniture."""
     u = N.heading_levels(S.units_in(spark, sf_dir))
-    t = _tables(spark, sf_dir).where("false")
-    a = C.chunks(C.with_headings(C.walk(u, t)), WHOLE)
-    b = C.chunks(C.with_headings(C.walk(N.strip_furniture(u), t)), WHOLE)
+    t = _tables(spark, sf_dir)
+    a = C.chunks(C.with_headings(C.walk(u, t)))
+    b = C.chunks(C.with_headings(C.walk(N.strip_furniture(u), t)))
     return C.chunk_diff(a, b).withColumn("pages", _list("pages"))
 
 
@@ -316,9 +321,9 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     units, tables = S.units_in(spark, sf_dir), R.gate_tables(_tables(spark, sf_dir))
     u, p = _reviewed(spark, sf_dir)
     pages = p.select("doc_id", "page", (F.col("page") % 10 == 3).alias("cached"), F.lit(100).alias("input_tokens"), (F.col("page") % 7).cast("int").alias("output_tokens"), "review_reasons")
-    ch = C.chunks(C.with_headings(C.walk(N.heading_levels(units), tables)), WHOLE)
+    ch = C.chunks(C.with_headings(C.walk(N.heading_levels(units), tables)))
     d = build(routes, units, pages, tables, R.review_items(u, p, tables), ch, Config().snapshot())
-    return d.withColumns({c: _list(c) for c in ("multi_page", "tables_review", "chunks_review")}).drop("config")
+    return d.withColumns({c: _list(c) for c in ("multi_page", "tables_review", "chunks_review", "page_routes")}).drop("config", "reason", "body_size", "source_file", "timings")
 
 
 QUERIES: dict[str, Query] = {
@@ -326,7 +331,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         route_counts, page_profiles, page_routes, page_routes_first_reason, text_layer_evidence, text_scores, text_forms, page_sample, body_font_size, native_units, drawing_units, ruled_grids, markdown_blocks,
         markdown_table_cells, response_units, repetition_windows, response_verification, flagged_response_units, cache_hits, furniture_keys, furniture_stripped_units, units_outside_tables, heading_levels, figure_dedup,
-        pixel_boxes_to_points, region_overlap, borderless_suspects, suppressed_suspects, table_chains, table_ids, stitched_tables, table_grid, table_markdown, table_validation, unmerged_cells, unit_review_reasons,
+        pixel_boxes_to_points, region_overlap, borderless_suspects, suppressed_suspects, table_chains, table_ids, stitched_tables, stitched_spans, table_grid, table_markdown, table_validation, unmerged_cells, unit_review_reasons,
         review_items, review_report, walk_order, heading_paths, section_text, all_chunks, text_pieces, table_row_groups, merged_markdown, chunk_diff, manifest,
     )
 }

@@ -59,76 +59,108 @@ def read_artifact(spark: SparkSession, path: str, schema: str | None = None, kin
 
 # --- inputs over the benchmark tables --------------------------------------------------------------------------------
 
-JUNK_SAMPLE = "\x01\x02\x01\x03�" * 5
-MARK_SAMPLE = " िवभाग म= ab"
+JUNK_SAMPLE = "\x01\x02\x01\x03\ufffd" * 5
+MARK_SAMPLE = " \u093f\u0935\u092d\u093e\u0917 \u092e= ab"
+#: Lines of a document that make a page.
+PAGE_LINES = 4
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").where("doc_id is not null and text is not null")
+    return d.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("doc_id").alias("k"), F.split("text", "\n", -1).alias("lines"))
 
 
 def pages_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as pages of their source; some get defects, images and drawings by their number."""
-    d = table(spark, sf_dir, "documents").where("doc_id is not null and source is not null")
-    k = F.col("doc_id") % 40
-    text = F.when(k == 0, F.concat("text", F.lit(JUNK_SAMPLE))).when(k == 1, F.concat("text", F.lit(MARK_SAMPLE))).when(k == 2, F.substring("text", 1, 30)).otherwise(F.col("text"))
+    """Documents cut into pages of four lines; some pages get defects, images and drawings by their number, and some documents
+    a further short page."""
+    d = _documents(spark, sf_dir)
+    n = F.size("lines")
+    text = F.transform(F.sequence(F.lit(1), n, F.lit(PAGE_LINES)), lambda i: F.struct(F.array_join(F.slice("lines", i, PAGE_LINES), "\n").alias("t"), F.lit(False).alias("short")))
+    more = F.when(F.col("k") % 40 == 2, F.array(F.struct(F.lit("Short page").alias("t"), F.lit(True).alias("short")))).otherwise(F.array().cast("array<struct<t:string,short:boolean>>"))
+    d = d.select("doc_id", "k", F.posexplode(F.concat(text, more)).alias("page", "p"))
+    k, i, t = (F.col("k") + F.col("page")) % 40, (F.col("k") + F.col("page")) % 11, F.col("p.t")
     none = F.array().cast(f"array<{G.BOX}>")
-    i = F.col("doc_id") % 11
     images = F.when(i == 0, F.array(G.box(0, 0, 595, 700))).when(i == 1, F.array(G.box(0, 0, 100, 100))).otherwise(none)
-    lines = F.size(F.split("text", "\n", -1))
-    page = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1
     return d.select(
-        F.col("source").alias("doc_id"), page.alias("page"), F.lit(595.0).alias("width"), F.lit(842.0).alias("height"), text.alias("text"), images.alias("images"), F.array(G.box(72, 72, 520, 72 + lines * 12)).alias("text_blocks"),
-        F.when(k == 2, (F.col("doc_id") % 3) * 80).otherwise(5).cast("int").alias("n_drawings"),
+        "doc_id", "page", F.lit(595.0).alias("width"), F.lit(842.0).alias("height"), F.when(k == 0, F.concat(t, F.lit(JUNK_SAMPLE))).when(k == 1, F.concat(t, F.lit(MARK_SAMPLE))).otherwise(t).alias("text"), images.alias("images"),
+        F.array(G.box(72, 72, 520, 72 + F.size(F.split(t, "\n", -1)) * 12)).alias("text_blocks"), F.when(F.col("p.short"), (F.col("k") % 3) * 80).otherwise(5).cast("int").alias("n_drawings"),
     )
 
 
 def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").where("doc_id is not null and source is not null and text is not null")
-    page = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1
-    d = d.select(F.col("source").alias("doc_id"), page.alias("page"), "text")
-    return d.select("doc_id", "page", F.posexplode(F.split("text", "\n", -1)).alias("i", "line"))
+    d = _documents(spark, sf_dir).select("doc_id", F.posexplode("lines").alias("i", "line"))
+    return d.select("doc_id", F.floor(F.col("i") / PAGE_LINES).cast("int").alias("page"), "i", "line")
 
 
 def units_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of documents as units, with running heads, numbered titles and figures by place."""
+    """Lines of documents as units: every sixth is a title, some have a figure after them, and pages have running heads."""
     d = _numbered_lines(spark, sf_dir)
-    kind = F.when(F.col("i") % 6 == 0, "title").when(F.col("i") % 17 == 5, "figure").otherwise("text")
-    nth = (F.floor(F.col("i") / 6) + 1).cast("string")
-    start = F.substring("line", 1, 30)
-    title = F.when(F.col("i") % 4 == 0, F.concat(nth, F.lit(". "), start)).when(F.col("i") % 4 == 2, F.concat(nth, F.lit(".2 "), start)).otherwise(start)
-    content = F.when(kind == "title", title).when(kind == "figure", "").otherwise(F.col("line"))
-    y0 = 72 + 14 * (F.col("i") % 50)
-    gem = F.col("page") % 5 == 3
-    lines = d.select(
-        "doc_id", "page", (F.col("page") * 100000 + 1 + F.col("i")).cast("long").alias("seq"), G.box(72, y0, 520, y0 + 12).alias("bbox"), kind.alias("type"), content.alias("content"),
-        F.when((kind == "title") & gem & (F.col("i") % 12 == 0), 1 + F.col("i") % 4).cast("int").alias("level"), F.when(kind == "title", 18.0 - 2 * (F.length("line") % 3)).alias("font_size"),
-        F.when(kind == "figure", F.format_string("figures/p%04d_f%02d.png", F.col("page").cast("int"), F.col("i").cast("int"))).alias("storage_key"), F.when(gem, "gemini").otherwise("pymupdf").alias("source"), F.lit(False).alias("needs_review"),
-    )
+    i, page = F.col("i"), F.col("page")
+    gem = page % 5 == 3
+    lane = F.when(gem, "gemini").otherwise("pymupdf").alias("source")
+    seq = page * 1000 + 2 + 2 * (i % PAGE_LINES)
+    y0 = 72 + 14 * (i % 50)
+    nth = (F.floor(i / 6) + 1).cast("string")
+    titled = F.when(i % 4 == 0, F.concat(nth, F.lit(". "), "line")).when(i % 4 == 2, F.concat(nth, F.lit(".2 "), "line")).otherwise(F.col("line"))
+    is_title = i % 6 == 0
+    size = 18.0 - 2 * (F.length("line") % 3) + F.element_at(F.array(*map(F.lit, (0.0, 0.4, -0.4, 0.5))), (i % 4 + 1).cast("int"))
+
+    def unit(d: DataFrame, seq, y, kind, content, level=None, font=None, key=None) -> DataFrame:
+        null = lambda c, t: (F.lit(None) if c is None else c).cast(t)
+        return d.select(
+            "doc_id", "page", seq.cast("long").alias("seq"), G.box(72, y, 520, y + 12).alias("bbox"), kind.alias("type"), content.alias("content"), null(level, "int").alias("level"), null(font, "double").alias("font_size"),
+            null(key, "string").alias("storage_key"), lane, F.lit(False).alias("needs_review"),
+        )
+
+    lines = unit(d, seq, y0, F.when(is_title, "title").otherwise("text"), F.when(is_title, titled).otherwise(F.col("line")), F.when(is_title & gem & (i % 12 == 0), 1 + i % 4), F.when(is_title, size))
+    figures = unit(d.where("i % 17 = 5"), seq + 1, y0 + 13, F.lit("figure"), F.lit(""), key=F.format_string("figures/p%04d_f%02d.png", page, i))
     p = d.select("doc_id", "page").distinct()
+    head = unit(p, page * 1000, F.lit(20), F.lit("text"), F.concat(F.lit("Report "), "doc_id", F.lit("  page "), page.cast("string")))
+    foot = unit(p.where("page % 2 = 0"), page * 1000 + 999, F.lit(820), F.lit("text"), F.lit("Confidential"))
+    return lines.unionByName(figures).unionByName(head).unionByName(foot)
 
-    def band(seq: int, y: int, text) -> DataFrame:
-        return p.select(
-            "doc_id", "page", (F.col("page") * 100000 + seq).cast("long").alias("seq"), G.box(72, y, 520, y + 12).alias("bbox"), F.lit("text").alias("type"), text.alias("content"), F.lit(None).cast("int").alias("level"),
-            F.lit(None).cast("double").alias("font_size"), F.lit(None).cast("string").alias("storage_key"), F.when(gem, "gemini").otherwise("pymupdf").alias("source"), F.lit(False).alias("needs_review"),
-        )
 
-    head = band(0, 20, F.concat(F.lit("Report "), "doc_id", F.lit("  page "), F.col("page").cast("string")))
-    foot = band(99999, 820, F.lit("Confidential")).where(F.col("page") % 2 == 0)
-    return lines.unionByName(head).unionByName(foot)
+def _customers(spark: SparkSession, sf_dir: str, order: list[str]) -> DataFrame:
+    """Customers numbered from 0 in documents of a nation and a range of keys, so that no document grows with the table."""
+    c = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = c.withColumn("doc_id", F.concat("n_name", F.lit(" "), F.floor(F.col("c_custkey") / 500).cast("string")))
+    return c.withColumn("n", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order)) - 1).withColumn("page", F.floor(F.col("n") / 10).cast("int"))
 
 
-def fragments_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of a nation as tables of ten rows to a page under a repeated header; every fourth page ends high."""
-    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    n = F.row_number().over(Window.partitionBy("n_name").orderBy("c_custkey")) - 1
-    c = c.select(F.col("n_name").alias("doc_id"), n.alias("n"), F.array("c_name", "c_mktsegment", F.col("c_custkey").cast("string")).alias("row"))
-    g = c.groupBy("doc_id", F.floor(F.col("n") / 10).cast("int").alias("page")).agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "row"))), lambda x: x["row"]).alias("rows"))
-    head = F.array(F.array(F.lit("name"), F.lit("segment"), F.lit("key")))
+def _fragments(g: DataFrame, cells, merges) -> DataFrame:
+    """g (doc_id, page) as fragments; every fourth page ends high."""
     return g.select(
-        "doc_id", "page", F.lit(0).cast("long").alias("seq"), G.box(72, 72, 520, F.when(F.col("page") % 4 == 3, 500).otherwise(800)).alias("bbox"), F.concat(head, "rows").alias("cells"), F.lit("find_tables").alias("source"),
-        F.lit(1).alias("header_rows"), F.array().cast("array<struct<row:int,col:int,rowspan:int,colspan:int>>").alias("merges"),
+        "doc_id", "page", F.lit(0).cast("long").alias("seq"), G.box(72, 72, 520, F.when(F.col("page") % 4 == 3, 500).otherwise(800)).alias("bbox"), cells.alias("cells"), F.lit("find_tables").alias("source"),
+        F.lit(1).alias("header_rows"), merges.cast("array<struct<row:int,col:int,rowspan:int,colspan:int>>").alias("merges"),
     )
 
 
+def fragments_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as tables of ten rows to a page under a repeated header."""
+    c = _customers(spark, sf_dir, ["c_custkey"]).select("doc_id", "page", "n", F.array("c_name", "c_mktsegment", F.col("c_custkey").cast("string")).alias("row"))
+    g = c.groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "row"))), lambda x: x["row"]).alias("rows"))
+    head = F.array(F.array(F.lit("name"), F.lit("segment"), F.lit("key")))
+    return _fragments(g, F.concat(head, "rows"), F.array())
+
+
+def spanned_fragments_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by segment, as printed: a segment that goes on from the page before is blank, headers are repeated with slips or
+    not at all, and merged cells lie in the header, over its edge and below it."""
+    c = _customers(spark, sf_dir, ["c_mktsegment", "c_custkey"])
+    before = F.lag("c_mktsegment").over(Window.partitionBy("doc_id").orderBy("n"))
+    c = c.withColumn("first_before", F.first(before).over(Window.partitionBy("doc_id", "page").orderBy("n")))
+    goes_on = (F.col("page") % 4 != 0) & (F.col("c_mktsegment") == F.col("first_before"))
+    c = c.select("doc_id", "page", "n", F.array(F.when(goes_on, "").otherwise(F.col("c_mktsegment")), F.col("c_name"), F.col("c_custkey").cast("string")).alias("row"))
+    g = c.groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "row"))), lambda x: x["row"]).alias("rows"))
+    k = F.when(F.col("page") % 4 == 0, -1).otherwise(F.col("page") % 3)
+    head = lambda *names: F.array(F.array(*map(F.lit, names)))
+    cells = F.concat(F.when(k == -1, head("segment", "name", "key")).when(k == 1, head("Segment ", "NAME", "key")).when(k == 2, head("segmant", "name", "kei")).otherwise(F.array().cast("array<array<string>>")), "rows")
+    box = lambda *m: F.struct(*(F.lit(v).alias(n) for v, n in zip(m, ("row", "col", "rowspan", "colspan"), strict=True)))
+    return _fragments(g, cells, F.when(k == 0, F.array(box(0, 0, 2, 1))).otherwise(F.array(box(0, 0, 1, 2), box(0, 2, 2, 1), box(1, 0, 2, 1))))
+
+
 def responses_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of conversations as transcribed pages: some with a heading, some with a table."""
+    """Turns of conversations as transcribed pages: some with a heading, some with a table; some have an empty page besides."""
     c = table(spark, sf_dir, "conversations").where("conv_id is not null and turn is not null")
     t, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
     k = F.col("turn") % 4
@@ -136,9 +168,13 @@ def responses_in(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k == 0, F.concat(F.lit("# "), role, F.lit(" one\n"), t))
         .when(k == 1, F.concat(F.lit("| a | b\\|c |\n|---|:-:|\n| "), role, F.lit(" | "), F.col("turn").cast("string"), F.lit(" |\n\n"), t))
         .when(k == 2, F.concat(t, F.lit("\n\n## part\n| lone row |\n[ILLEGIBLE]")))
-        .otherwise(F.lit(""))
+        .otherwise(t)
     )
-    return c.select(F.col("conv_id").alias("doc_id"), F.col("turn").cast("int").alias("page"), F.lit(595.0).alias("width"), F.lit(842.0).alias("height"), md.alias("markdown"), F.when(F.col("turn") % 3 == 0, F.length(t)).alias("text_layer_chars"), F.lit(0.02).alias("ink_frac"))
+
+    def page(d: DataFrame, at, md) -> DataFrame:
+        return d.select(F.col("conv_id").alias("doc_id"), at.cast("int").alias("page"), F.lit(595.0).alias("width"), F.lit(842.0).alias("height"), md.alias("markdown"), F.when(F.col("turn") % 3 == 0, F.length(t)).alias("text_layer_chars"), F.lit(0.02).alias("ink_frac"))
+
+    return page(c, F.col("turn"), md).unionByName(page(c.where("turn % 8 = 3"), F.col("turn") + 1_000_000, F.lit("")))
 
 
 def regions_in(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,9 +184,9 @@ def regions_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boxes_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of boxes from the first two lines of each order (line numbers repeat in the data)."""
+    """Pairs of boxes from the lines of each order, numbered anew (line numbers repeat in the data)."""
     first = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", F.row_number().over(first).alias("n")).where("n <= 2")
+    x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", F.row_number().over(first).alias("n"))
     k, p, s = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     a = G.box(p % 400, s % 600, p % 400 + 50 + s % 90, s % 600 + 40)
     b = G.box(p % 397, s % 590, p % 397 + 80, s % 590 + 30 + p % 50)
@@ -163,9 +199,9 @@ def spans_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.when(F.col("i") % 7 == 0, 14.0).otherwise(10.0)
     text = F.when(F.col("i") % 5 == 1, F.concat(F.lit("3.1 "), "line")).otherwise(F.col("line"))
     span = lambda t, z, f: F.struct(t.alias("text"), z.alias("size"), f.cast("int").alias("flags"))
-    y = 72.0 + 14 * F.col("i")
+    y = 72.0 + 14 * (F.col("i") % PAGE_LINES)
     line = F.struct(G.box(72, y, 520, y + 12).alias("bbox"), F.array(span(F.substring(text, 1, 10), F.lit(9.0), F.lit(0)), span(F.substr(text, F.lit(11)), size, F.when(F.col("i") % 5 == 1, 16).otherwise(0))).alias("spans"))
-    b = d.withColumn("b", F.floor(F.col("i") / 3).cast("int")).groupBy("doc_id", "page", "b").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", line.alias("line")))), lambda x: x["line"]).alias("lines"))
+    b = d.withColumn("b", F.floor(F.col("i") % PAGE_LINES / 3).cast("int")).groupBy("doc_id", "page", "b").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", line.alias("line")))), lambda x: x["line"]).alias("lines"))
     image = F.struct(F.lit(1).alias("type"), G.box(100, 100, 300, 200).alias("bbox"), F.array().cast("array<struct<bbox:struct<x0:double,y0:double,x1:double,y1:double>,spans:array<struct<text:string,size:double,flags:int>>>>").alias("lines"))
     block = F.struct(F.lit(0).alias("type"), G.box(72, 72, 520, 800).alias("bbox"), F.col("lines").alias("lines"))
     g = b.groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("b", block.alias("block")))), lambda x: x["block"]).alias("blocks"))

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from folioflow.config import Cutting, Paid
 from folioflow.functions import geometry as G
 from folioflow.operators import chunks as C
 from folioflow.operators import extract as X
@@ -42,6 +43,9 @@ def test_heading_levels(spark):
     rows = [_unit("d", 0, i, 10 * i, 10 * i + 5, "title", t, level, size, s) for i, (t, level, size, s) in enumerate([("x", 2, None, "gemini"), ("7.3.1 Notices", None, 13.0, "pymupdf"), ("Big", None, 18.0, "pymupdf"), ("Small", None, 13.0, "pymupdf"), ("None", None, None, "pymupdf")])]
     got = {r.seq: r.level for r in N.heading_levels(spark.createDataFrame(rows, UNIT)).collect()}
     assert got == {0: 2, 1: 3, 2: 1, 3: 2, 4: 1}
+    sizes = [18.1, 17.6, 16.5, 15.5, 14.4]  # 18, 18, 16, 16 and 14 whole points
+    rows = [_unit("d", 0, i, 10 * i, 10 * i + 5, "title", "t", None, z) for i, z in enumerate(sizes)]
+    assert [r.level for r in N.heading_levels(spark.createDataFrame(rows, UNIT)).orderBy("seq").collect()] == [1, 1, 2, 2, 3]
 
 
 def _fragment(page, rows, y=(100, 800), seq=0, header=1, merges=(), source="find_tables", doc="d"):
@@ -148,19 +152,56 @@ def test_verification(spark):
     assert got == {0: ["repetition"], 1: ["length"], 2: ["inked"], 3: [], 4: ["1"], 5: ["mojibake"]}
 
 
-def test_transcription_pays_once(spark):
-    pages = spark.createDataFrame([("d", 0, b"one"), ("d", 1, b"one"), ("d", 2, b"two")], "doc_id string, page int, image binary")
-    none = spark.createDataFrame([], "key string, text string, input_tokens int, output_tokens int")
+def test_transcription_pays_once(spark, tmp_path):
+    class Engine:
+        """Says the image in capitals; `broken` fails for good, `blank` has no answer, and every call leaves a file."""
 
-    class Client:
         def generate(self, image, prompt):
-            return image.decode().upper(), 1, 2
-
-    first = V.transcribe(pages, none, Client, "p").collect()
-    assert [r.text for r in sorted(first, key=lambda r: r.page)] == ["ONE", "ONE", "TWO"] and not any(r.cached for r in first)
-    stored = spark.createDataFrame([(r.key, r.text, 1, 2) for r in first[:1]], none.schema)
-    again = V.transcribe(pages, stored, Client, "p").collect()
-    assert {r.page for r in again if r.cached} == {r.page for r in first if r.key == first[0].key}
+            import pathlib
+            import uuid
+
+            pathlib.Path(at, f"{image.decode()}-{uuid.uuid4().hex}").touch()
+            if image == b"broken":
+                raise ValueError("no such page")
+            return ("" if image == b"blank" else image.decode().upper()), 1, 2
+
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    at = str(calls)
+    pages = spark.createDataFrame([("d", 0, b"one"), ("d", 1, b"one"), ("d", 2, b"two"), ("d", 3, b"broken"), ("d", 4, b"blank"), ("d", 5, None)], "doc_id string, page int, image binary")
+    cfg = Paid(retries=0)
+    make = Engine
+    first = V.transcribe(pages, str(tmp_path / "cache"), make, "p", cfg)
+    got = {r.page: r for r in first.collect()}
+    assert first.count() == 5 and [got[i].text for i in range(5)] == ["ONE", "ONE", "TWO", "", ""] and not any(r.cached for r in got.values())
+    assert "no such page" in got[3].error and got[4].error is None
+    seen = lambda: Counter(f.name.split("-")[0] for f in calls.iterdir())
+    assert seen() == {"one": 1, "two": 1, "broken": 1, "blank": 1}  # two actions have paid once
+    again = {r.page: r.cached for r in V.transcribe(pages, str(tmp_path / "cache"), make, "p", cfg).collect()}
+    assert again == {0: True, 1: True, 2: True, 3: False, 4: False} and seen() == {"one": 1, "two": 1, "broken": 2, "blank": 2}
+
+
+def test_failed_page_is_one_flagged_unit(spark):
+    schema = "doc_id string, page int, width double, height double, markdown string, text_layer_chars int, ink_frac double, error string"
+    pages = spark.createDataFrame([("d", 0, 595.0, 842.0, "", None, None, "gone"), ("d", 1, 595.0, 842.0, "a page of text", 14, None, None)], schema)
+    regions = spark.createDataFrame([], f"doc_id string, page int, idx int, label string, box_pdf {G.BOX}")
+    checked = V.verify(pages, regions)
+    assert {r.page: r.review_reasons for r in checked.collect()} == {0: ["the engine failed: gone"], 1: []}
+    units = V.flagged_units(V.page_units(pages, regions), pages, checked).collect()
+    assert {(r.page, r.content, r.needs_review) for r in units} == {(0, "", True), (1, "a page of text", False)}
+
+
+def test_ink(spark):
+    d = spark.createDataFrame([(bytes([0, 255, 100, 200]), 2, 2), (bytes([0, 0, 0, 255, 250, 0, 0, 0]), 2, 1), (None, 2, 2), (b"", 0, 0)], "s binary, w int, h int")
+    assert [r.i for r in d.select(V.ink_fraction()("s", "w", "h").alias("i")).collect()] == [0.5, 1.0, None, None]
+
+
+def test_repetition_against_a_plain_count(spark):
+    texts = ["abc" * 40, "short", "x" * 21, "é😀 " * 30, "all of these words differ from one another here", None]
+    rows = [("d", i, t) for i, t in enumerate(texts)]
+    got = {r.page: r.worst for r in V.repetition(spark.createDataFrame(rows, "doc_id string, page int, markdown string")).collect()}
+    plain = lambda t: max(Counter(t[i : i + 20] for i in range(len(t) - 19)).values()) if len(t) > 20 else 0
+    assert got == {i: plain(" ".join((t or "").split())) for i, t in enumerate(texts)}
 
 
 def test_retries():
@@ -255,6 +296,20 @@ def test_pieces(spark):
     assert d[1].p == [] and len(d[2].p) == 2
 
 
+def test_split_text_by_a_tokenizer(spark):
+    text = "One two three. Four five! Six seven eight nine? Ten."
+    words = lambda t: len(t.split())
+    assert C.sentence_pieces(text, 5, 0, words) == ["One two three. Four five!", "Six seven eight nine? Ten."]
+    assert C.sentence_pieces(text, 5, 2, words) == ["One two three. Four five!", "Six seven eight nine? Ten."]
+    assert C.sentence_pieces("A b. C d. E f. G h.", 4, 2, words) == ["A b. C d.", "C d. E f.", "E f. G h."]
+    assert C.sentence_pieces("  ", 5, 0, words) == []
+    rows = [_unit("d", 0, 0, 10, 20, "text", text), _unit("d", 0, 1, 30, 40, "text", "Last.")]
+    none = TB.build_tables(TB.chains(spark.createDataFrame([], FRAGMENT)))
+    walked = C.with_headings(C.walk(spark.createDataFrame(rows, UNIT), none))
+    got = C.chunks(walked, split=C.splitter(Cutting(tokens=5), words)).orderBy("n").collect()
+    assert [(r.content, r.token_count) for r in got] == [("One two three. Four five!", 5), ("Six seven eight nine?", 4), ("Ten.\n\nLast.", 2)]
+
+
 def test_table_chunks(spark):
     cells = [["h", "i"]] + [[str(k), "x"] for k in range(45)]
     t = TB.build_tables(TB.chains(spark.createDataFrame([_fragment(2, cells)], FRAGMENT)))

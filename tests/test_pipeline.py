@@ -1,10 +1,13 @@
 """The layered run, resuming, files, streams, and the registered queries."""
 
 import importlib
+import json
 
 import pytest
 
-from folioflow.config import Config, Routing
+from pyspark.sql import functions as F
+
+from folioflow.config import Cleaning, Config, Lanes
 from folioflow.functions import geometry as G
 from folioflow.plans import oracles
 from folioflow.plans import pipeline as PL
@@ -42,11 +45,43 @@ def test_layers_and_resume(spark, tmp_path):
     PL.execute(again, _inputs(spark), from_layer=5)
     assert again.read("chunks.chunks").orderBy("n").collect() == before and set(again.timings) == {"normalize", "quality", "chunks"}
     with pytest.raises(PL.ConfigMismatch):
-        PL.execute(PL.Run(spark, str(tmp_path), Config(routing=Routing(min_text_chars=10))), _inputs(spark), from_layer=3)
+        PL.execute(PL.Run(spark, str(tmp_path), Config(lanes=Lanes(least_text=10))), _inputs(spark), from_layer=3)
     with pytest.raises(ValueError):
         PL.execute(again, _inputs(spark), from_layer=8)
 
 
+def test_run_with_gate_engine_and_figures(spark, tmp_path):
+    class Answers:
+        def generate(self, image, prompt):
+            return f"# Seen\n\n{image.decode()} {prompt}", 7, 3
+
+    i = _inputs(spark)
+    pages = i.pages.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(spark.createDataFrame([("e", "broken file")], "doc_id string, reject_reason string"), allowMissingColumns=True)
+    images = spark.createDataFrame([("d", 1, b"picture", 0.001), ("d", 0, b"not asked", 0.5)], "doc_id string, page int, image binary, ink_frac double")
+    documents = spark.createDataFrame([("d", True, False, 4, "d.pdf"), ("f", True, True, 3, "f.pdf")], "doc_id string, readable boolean, encrypted boolean, page_count int, source_file string")
+    inputs = PL.Inputs(pages, i.regions, i.drawings, i.native_tables, None, images, documents)
+    run = PL.Run(spark, str(tmp_path), make_client=Answers, prompt="please")
+    got = {r.doc_id: r for r in PL.execute(run, inputs).collect()}
+    assert {d: (r.status, r.reason) for d, r in got.items()} == {"d": ("ok", None), "e": ("rejected", "broken file"), "f": ("rejected", "encrypted")}
+    d = got["d"]
+    assert (d.source_file, d.body_size, d.input_tokens, d.page_routes) == ("d.pdf", 10.0, 7, ["0:native", "1:vlm", "2:drawing", "3:native"])
+    assert set(json.loads(d.timings)) == set(PL.LAYERS)
+    assert "picture please" in {r.content for r in run.read("chunks.chunks").collect()}
+    assert run.read("extract.units").where("content like '%not asked%'").count() == 0
+
+
+def test_equal_figures_count_once_if_asked(spark, tmp_path):
+    i = _inputs(spark)
+    regions = spark.createDataFrame([("d", 1, k, "figure", (50.0, 100.0 * k, 400.0, 100.0 * k + 50)) for k in range(3)], f"doc_id string, page int, idx int, label string, box_pdf {G.BOX}")
+    i.regions, i.figures = regions, spark.createDataFrame([("d", f"figures/p0001_r{k}.png", "same" if k < 2 else "other") for k in range(3)], "doc_id string, storage_key string, digest string")
+    counts = []
+    for once in (False, True):
+        run = PL.Run(spark, str(tmp_path / str(once)), Config(cleaning=Cleaning(once_per_figure=once)))
+        PL.execute(run, i)
+        counts.append(run.read("normalize.units").where("type = 'figure'").count())
+    assert counts == [4, 3]
+
+
 def test_gate_of_documents(spark):
     d = spark.createDataFrame([("a", True, False, 3), ("b", False, False, 0), ("c", True, True, 3), ("e", True, False, 0)], "doc_id string, readable boolean, encrypted boolean, page_count int")
     good, bad = PL.gate(d)
@@ -83,7 +118,7 @@ def test_stream(spark, tmp_path):
     assert {(r.doc_id, r["count"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {("a", 2), ("b", 1)}
 
 
-@pytest.mark.parametrize("name", ["route_counts", "text_scores", "native_units", "response_verification", "furniture_stripped_units", "borderless_suspects", "stitched_tables", "unit_review_reasons", "merged_markdown"])
+@pytest.mark.parametrize("name", ["route_counts", "text_scores", "native_units", "response_verification", "furniture_stripped_units", "borderless_suspects", "stitched_tables", "stitched_spans", "table_grid", "heading_levels", "text_pieces", "unit_review_reasons", "merged_markdown"])
 def test_queries_agree_with_their_sql(spark, name):
     import duckdb
 
@@ -109,9 +144,11 @@ def test_command_line(spark, tmp_path, capsys):
 
     inputs = _inputs(spark)
     for f in dataclasses.fields(inputs):
+        if getattr(inputs, f.name) is None:
+            continue
         getattr(inputs, f.name).write.parquet(str(tmp_path / "in" / f.name))
-    main([str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--set", "chunking.size_tokens=64"])
+    main([str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--set", "cutting.tokens=64"])
     assert "'doc_id': 'd'" in capsys.readouterr().out
-    assert configured(["chunking.size_tokens=64"]).chunking.size_tokens == 64
+    assert configured(["cutting.tokens=64"]).cutting.tokens == 64
     with pytest.raises(SystemExit):
-        configured(["chunking.size_tokens=many"])
+        configured(["cutting.tokens=many"])
