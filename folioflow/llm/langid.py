@@ -31,9 +31,10 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> tuple[list[str],
     rare ones are taken whole. A document without an id is in no fold and is not learned from.
     """
     d = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold() != HELD_OUT))
+    # one row for each output of the network, which the driver holds in any case; so texts are not shuffled to be sampled
     shares = d.groupBy("lang").agg((per_language / F.count(F.lit(1))).alias("share")).withColumnRenamed("lang", "lang_")
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11).cast("double") + 0.5) / float(1 << 53)
-    rows = d.select("doc_id", "lang", "text", u.alias("u")).join(shares, F.col("lang") == F.col("lang_")).where(F.col("u") < F.col("share")).select("lang", "text").distinct().collect()
+    rows = d.select("doc_id", "lang", "text", u.alias("u")).join(F.broadcast(shares), F.col("lang") == F.col("lang_")).where(F.col("u") < F.col("share")).select("lang", "text").distinct().collect()
     rows.sort()
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 
