@@ -64,43 +64,48 @@ def lowered(text: Column) -> Column:
     F.lower is the faster way, and what it does to letters beyond ASCII joins, splits or renames no ASCII word; but for the
     two letters that it turns into ASCII ones, whose texts are translated letter by letter.
     """
-    folds = text.rlike("[\u0130\u212a]")
+    folds = F.contains(text, F.lit("\u0130")) | F.contains(text, F.lit("\u212a"))
     return F.when(folds, F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.lower(text))
 
 
 def word_string(text: Column) -> Column:
     """The words, each between single blanks: ` a b c `, or one blank if there is none."""
-    bare = F.btrim(F.regexp_replace(lowered(F.coalesce(text, F.lit(""))), SEPARATOR, " "))
-    return F.when(bare == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), bare, F.lit(" ")))
+    return F.regexp_replace(F.concat(F.lit(" "), lowered(F.coalesce(text, F.lit(""))), F.lit(" ")), SEPARATOR, " ")
 
 
 def _blanks(x: Column) -> Column:
     return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
 
 
-def _grams(words: Column, k: int = K) -> Column:
-    n = F.greatest(F.size(words) - (k - 1), F.lit(0))
-    return F.arrays_zip(*(F.slice(words, i + 1, n).alias(f"w{i}") for i in range(k)))
-
-
 def template_grams(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
-    """(template, label, n_grams, at, hash, w0..): one row per place of each template; a few thousand rows, fixed in the code."""
+    """(template, label, n_grams, at, hash, template_gram): one row per place of each template; a few hundred rows, fixed in the code."""
     t = spark.createDataFrame([(i, label, text) for i, (label, text) in enumerate(templates)], "template int, label string, text string")
-    t = t.withColumn("g", _grams(F.split(F.btrim(word_string(F.col("text"))), " ")))
-    t = t.select("template", "label", F.size("g").alias("n_grams"), F.posexplode("g").alias("at", "g"))
-    return t.select("template", "label", "n_grams", "at", F.xxhash64("g").alias("hash"), F.col("g").alias("template_gram"))
+    t = t.withColumn("w", F.split(F.btrim(word_string(F.col("text"))), " "))
+    t = t.select("template", "label", (F.size("w") - (K - 1)).alias("n_grams"), "w", F.posexplode(_hashes("w")).alias("at", "hash"))
+    return t.select("template", "label", "n_grams", "at", "hash", F.slice("w", F.col("at") + 1, K).alias("template_gram"))
+
+
+def _hashes(w: str) -> Column:
+    """A hash of the K words from every place on; w is a column of words."""
+    n = F.greatest(F.size(w) - (K - 1), F.lit(0))
+    return F.transform(F.slice(w, 1, n), lambda x, i: F.xxhash64(x, *(F.get(w, i + j) for j in range(1, K))))
+
+
+def hits(hashes: str, w: str, known: list[int]) -> Column:
+    """(pos, hash, gram) of the places whose hash is one of the templates'; rolled over the words within the row."""
+    found = F.transform(hashes, lambda x, i: F.when(x.isin(known), F.struct(i.alias("pos"), x.alias("hash"), F.slice(w, i + 1, K).alias("gram"))))
+    return F.filter(found, lambda x: x.isNotNull())
 
 
-def spans(docs: DataFrame, key: list[str]) -> DataFrame:
+def spans(docs: DataFrame, key: list[str], grams: DataFrame) -> DataFrame:
     """(key, label, first, last, covered, cover): verified spans of license text; words first..last, counted from 0.
 
-    Every k-gram of every text is joined to the template places with the same hash and the same words. The votes of a
-    text and template are added up by diagonal (text place less template place); neighbouring diagonals form a span.
+    docs has the key and `hits`. Every hit is joined to the template places with the same hash and the same words. The
+    votes of a text and template are added up by diagonal (text place less template place); neighbouring diagonals form a span.
     """
-    grams = docs.select(*key, F.posexplode(_grams(F.split(F.btrim("words"), " "))).alias("pos", "gram"))
-    grams = grams.select(*key, "pos", "gram", F.xxhash64("gram").alias("hash"))
+    found = docs.select(*key, F.explode("hits").alias("x")).select(*key, "x.*")
     # the templates are fixed in the code, so the broadcast cannot grow with the data
-    votes = grams.join(F.broadcast(template_grams(docs.sparkSession)), "hash").where(F.col("gram") == F.col("template_gram"))
+    votes = found.join(F.broadcast(grams), "hash").where(F.col("gram") == F.col("template_gram"))
     votes = votes.select(*key, "template", "label", "n_grams", "pos", "at", (F.col("pos") - F.col("at")).alias("diagonal"))
     d = votes.groupBy(*key, "template", "label", "n_grams", "diagonal").agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_set("at").alias("at"))
     order = Window.partitionBy(*key, "template").orderBy("diagonal")
@@ -120,17 +125,26 @@ def scan(docs: DataFrame, extra: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     empty texts have no words and no labels. Votes are grouped by text, so those of copies and repeated rows fall together
     (texts are told apart by length and a 64-bit hash). An empty table gives no rows; other columns are not read.
     """
-    d = docs.select(*extra, F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), F.length(F.coalesce("text", F.lit(""))).alias("tl"), word_string(F.col("text")).alias("words"))
-    n_words = (_blanks(F.col("words")) - 1).cast("long")
-    hits, firsts, lasts, names = [], [], [], []
+    grams = template_grams(docs.sparkSession)
+    known = sorted({r.hash for r in grams.select("hash").collect()})
+    text = F.coalesce("text", F.lit(""))
+    d = docs.select(*extra, F.xxhash64(text).alias("th"), F.length(text).alias("tl"), word_string(F.col("text")).alias("words"))
+    d = d.withColumn("w", F.when(F.col("words") == " ", F.array().cast("array<string>")).otherwise(F.split(F.btrim("words"), " ")))
+    n_words = F.size("w").cast("long")
+    counts, firsts, lasts, names = [], [], [], []
     for phrase, label in PHRASES:
         some = F.contains("words", F.lit(f" {phrase} "))
-        hits.append(F.when(some, F.regexp_count("words", F.lit(f" {phrase}(?= )"))).otherwise(0))
+        counts.append(F.when(some, F.regexp_count("words", F.lit(f" {phrase}(?= )"))).otherwise(0))
         firsts.append(F.when(some, _blanks(F.substring_index("words", f" {phrase} ", 1))))
         lasts.append(F.when(some, n_words - _blanks(F.substring_index("words", f" {phrase} ", -1)) - len(phrase.split())))
         names.append(F.when(some, F.lit(label)))
-    base = d.select(*extra, "th", "tl", n_words.alias("n_words"), sum(hits).cast("long").alias("n_base"), F.array_min(F.array(*firsts)).cast("long").alias("first_word"), F.array_max(F.array(*lasts)).cast("long").alias("last_word"), F.sort_array(F.array_compact(F.array(*names))).alias("base"))
-    found = spans(d.select("th", "tl", "words").where(_blanks(F.col("words")) > K), ["th", "tl"])
+    d = d.withColumn("hashes", _hashes("w"))
+    d = d.select(
+        *extra, "th", "tl", n_words.alias("n_words"), sum(counts).cast("long").alias("n_base"), F.array_min(F.array(*firsts)).cast("long").alias("first_word"), F.array_max(F.array(*lasts)).cast("long").alias("last_word"),
+        F.sort_array(F.array_compact(F.array(*names))).alias("base"), hits("hashes", "w", known).alias("hits"),
+    )
+    base = staged(d, "licenses")
+    found = spans(base.where(F.size("hits") > 0), ["th", "tl"], grams)
     found = found.groupBy("th", "tl").agg(F.collect_set("label").alias("more"), F.max("cover").alias("cover"))
     d = base.join(found, ["th", "tl"], "left")
     labels = F.sort_array(F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))))
