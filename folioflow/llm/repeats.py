@@ -5,7 +5,10 @@ all meet in one sort, every string is put into the sort of its anchor: the place
 is least (the first, if several). Equal strings have equal anchors at equal distance, so no repeat falls between two
 sorts, and strings whose anchor is nowhere else cannot repeat. Neighbouring strings with one anchor are one context, a
 piece of at most 336 bytes. Contexts that occur twice as a whole need no sort; where an anchor has several different
-contexts, one copy of each goes into the sort of its partition.
+contexts, one copy of each goes into the sort of its partition, which may be far larger than memory.
+
+A context that a text holds several times is settled within the text, and sends one row. Anchors of passages that many
+documents share are known from a sample of documents; only where their rows are counted depends on it, not the result.
 """
 
 from __future__ import annotations
@@ -22,13 +25,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import suffix
-from .common import staged, table, text_slices
+from .common import discard, staged, table, text_slices
 
 LENGTH = 200
 ANCHOR = 64
 #: About so many bytes of contexts go into one sort; queues beyond so many tuples go to disk.
 SORT_BYTES = 6 << 20
 QUEUE_TUPLES = 1 << 20
+#: Anchors that so many of the sampled documents share are hot: their rows are dealt out by text, too, and joined to aggregates.
+HOT_SAMPLE = 4000
+HOT_DOCS = 20
+SALTS = 64
 _TABLE = np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _TABLE = (_TABLE ^ (_TABLE >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 _TABLE ^= _TABLE >> np.uint64(32)
@@ -79,7 +86,8 @@ def anchors(buf: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np.
 
 
 def _contexts(docs: DataFrame, length: int) -> DataFrame:
-    """(anchor, context, th, s, n) for docs (th, text): starts s..s+n-1 of a text share an anchor."""
+    """(anchor, context, th, s, n, many) for docs (th, text): starts s..s+n-1 of a text share an anchor; a context that the text
+    holds several times is there once, marked. Rows without an anchor are those starts: they repeat for certain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
@@ -96,10 +104,30 @@ def _contexts(docs: DataFrame, length: int) -> DataFrame:
                             done.add(t)
                 keep = fresh[text]
                 text, at, count, anchor = text[keep], at[keep], count[keep], anchor[keep]
-                ctx = np.fromiter((digest(data[a : a + n]) for a, n in zip(at.tolist(), (count + length - 1).tolist(), strict=True)), np.uint64, len(at))
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(ctx.view(np.int64)), pa.array(th[text]), pa.array(at - off[text]), pa.array(count)], ["anchor", "context", "th", "s", "n"])
-
-    return docs.select("th", "text").mapInArrow(run, "anchor long, context long, th long, s long, n long")
+                if not len(text):
+                    continue
+                ctx = np.fromiter((digest(data[a : a + n]) for a, n in zip(at.tolist(), (count + length - 1).tolist(), strict=True)), np.uint64, len(at)).view(np.int64)
+                order = np.lexsort((at, ctx, anchor, text))
+                same = np.append(False, (text[order][1:] == text[order][:-1]) & (anchor[order][1:] == anchor[order][:-1]) & (ctx[order][1:] == ctx[order][:-1]))
+                head = np.flatnonzero(~same)
+                size = np.diff(np.append(head, len(order)))
+                one, many = order[head], size > 1
+                again = np.sort(order[np.repeat(many, size)])
+                # neighbouring starts become one row; contexts are in the order of the buffer
+                first = np.flatnonzero(np.append(True, at[again][1:] != (at + count)[again][:-1]) | np.append(True, text[again][1:] != text[again][:-1])) if len(again) else again
+                runs = np.add.reduceat(count[again], first) if len(again) else again
+                rows = np.concatenate([one, again[first]])
+                known = np.arange(len(rows)) < len(one)
+                arrays = [pa.array(anchor[rows], mask=~known), pa.array(ctx[rows], mask=~known), pa.array(th[text[rows]]), pa.array((at - off[text])[rows]), pa.array(np.concatenate([count[one], runs])), pa.array(np.append(many, np.zeros(len(first), bool)))]
+                yield pa.RecordBatch.from_arrays(arrays, ["anchor", "context", "th", "s", "n", "many"])
+
+    return docs.select("th", "text").mapInArrow(run, "anchor long, context long, th long, s long, n long, many boolean")
+
+
+def _hot(docs: DataFrame, total: int, length: int) -> DataFrame:
+    """The anchors that many of a sample of documents hold; at most those of HOT_SAMPLE documents over HOT_DOCS."""
+    some = docs.where(F.pmod(F.xxhash64("th", F.lit(8)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, HOT_SAMPLE / max(1, total))))
+    return staged(_contexts(some, length).where("anchor is not null").groupBy("anchor").agg(F.count_distinct("th").alias("texts")).where(F.col("texts") >= HOT_DOCS).select(F.col("anchor").alias("hot")), "hot")
 
 
 def _pieces(wanted: DataFrame, length: int) -> DataFrame:
@@ -122,66 +150,78 @@ def _pieces(wanted: DataFrame, length: int) -> DataFrame:
 def _sorted_repeats(pieces: DataFrame, length: int) -> DataFrame:
     """(anchor, context, ranges): starts of each context that occur elsewhere in its partition, as pairs of ends.
 
-    A partition's pieces are written to a file and sorted there; nothing is kept when it is done.
+    A partition's pieces, which come sorted by context, are written to a file and sorted there; nothing is kept when it is
+    done, and nothing is in memory as a whole: pieces, their places and what is found are files.
     """
+    entry = np.dtype([("anchor", "<i8"), ("context", "<i8"), ("at", "<i8"), ("n", "<i8")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        folder = tempfile.mkdtemp(prefix="repeats-")
-        try:
-            w = suffix.Writer(path := os.path.join(folder, "text"), length)
-            seen: dict[tuple[int, int], tuple[int, int]] = {}
-            for batch in batches:
-                for a, c, n, b in zip(*(batch.column(k).to_pylist() for k in ("anchor", "context", "n", "bytes")), strict=True):
-                    if (a, c) not in seen:
-                        seen[a, c] = (w.add(b), n)
+        with tempfile.TemporaryDirectory(prefix="repeats-") as folder:
+            w, last = suffix.Writer(path := os.path.join(folder, "text"), length), None
+            with open(index := os.path.join(folder, "index"), "wb") as f:
+                for batch in batches:
+                    rows = []
+                    for a, c, n, b in zip(*(batch.column(k).to_pylist() for k in ("anchor", "context", "n", "bytes")), strict=True):
+                        if (a, c) != last:
+                            rows.append((a, c, w.add(b), n))
+                            last = a, c
+                    np.array(rows, entry).tofile(f)
             w.close()
-            if not seen:
+            if last is None:
                 return
-            found = suffix.repeated_starts(path, length, QUEUE_TUPLES)
-            rows: list[tuple[int, int, list[int]]] = []
-            for (a, c), (at, n) in seen.items():
-                part = found[at : at + n]
-                if part.any():
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], part.view(np.int8), [0]])))
-                    rows.append((a, c, edge.tolist()))
-            for lo in range(0, len(rows), 20_000):
-                cols = list(zip(*rows[lo : lo + 20_000], strict=True))
+            found = suffix.repeated_starts(path, length, QUEUE_TUPLES, folder)
+            for lo in range(0, os.path.getsize(index), 4096 * entry.itemsize):
+                rows = []
+                for a, c, at, n in np.fromfile(index, entry, 4096, offset=lo).tolist():
+                    part = found[at : at + n]
+                    if part.any():
+                        rows.append((a, c, np.flatnonzero(np.diff(np.concatenate([[0], part.view(np.int8), [0]]))).tolist()))
+                cols = list(zip(*rows, strict=True)) or [[], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64()))], ["anchor", "context", "ranges"])
-        finally:
-            import shutil
-
-            shutil.rmtree(folder, ignore_errors=True)
 
     return pieces.mapInArrow(run, "anchor long, context long, ranges array<long>")
 
 
-def removed_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(th, spans): for texts (th, doc_id, text) the byte ranges to remove, as an array of (a, b), not merged.
+def removed_ranges(docs: DataFrame, total: int, length: int = LENGTH) -> DataFrame:
+    """(th, spans): for `total` texts (th, doc_id, text) the byte ranges to remove, as an array of (a, b), not merged.
 
     Strings that stand only in copies of one text are not in the result; the caller knows copies by their th.
     """
-    place = F.struct("th", "s")
-    # every row of an anchor comes to one partition; both windows use that and sort once
-    r = _contexts(docs, length).repartition("anchor")
-    both, one = Window.partitionBy("anchor", "context"), Window.partitionBy("anchor")
-    r = r.withColumn("twice", F.min(place).over(both) != F.max(place).over(both))
-    r = r.withColumn("again", F.min(place).over(one) != F.max(place).over(one)).withColumn("several", F.min("context").over(one) != F.max("context").over(one))
-    r = staged(r.where("again"), "contexts")
+    place, key = F.struct("th", "s"), ["anchor", "context"]
+    hot = F.broadcast(_hot(docs, total, length))
+    r = _contexts(docs, length).join(hot, F.col("anchor") == F.col("hot"), "left").withColumn("hot", F.col("hot").isNotNull())
+    # every row of an anchor that is not hot comes to one partition; all windows use that and sort once
+    r = r.withColumn("salt", F.when(F.col("hot"), F.pmod("th", F.lit(SALTS))).when(F.col("anchor").isNull(), F.pmod("th", F.lit(1 << 20))).otherwise(0)).repartition("anchor", "salt")
+    both, one = Window.partitionBy("anchor", "salt", "context"), Window.partitionBy("anchor", "salt")
+    sure = lambda w: (F.min(place).over(w) != F.max(place).over(w)) | F.max("many").over(w)
+    r = r.withColumn("twice", sure(both)).withColumn("again", sure(one)).withColumn("several", F.min("context").over(one) != F.max("context").over(one))
+    all_rows = staged(r.where("again or hot or anchor is null").drop("again", "salt"), "contexts")
+    local = all_rows.where("anchor is null").select("th", F.col("s").alias("a"), (F.col("s") + F.col("n") + (length - 1)).alias("b"))
+    r, shared = all_rows.where("anchor is not null and not hot"), all_rows.where("hot").drop("twice", "several")
+    flags = shared.groupBy(*key).agg((F.min(place) != F.max(place)).alias("apart"), F.bool_or("many").alias("many_")).select(*key, (F.col("apart") | F.col("many_")).alias("twice"))
+    flags = staged(flags, "flags")
+    # one row for each hot anchor, of which there are at most those of the sample
+    anchors_ = flags.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("several"))
+    r = r.unionByName(shared.join(flags.join(F.broadcast(anchors_), "anchor"), key)).where("twice or several")
     asked = r.where("several").groupBy("anchor", "context").agg(F.min(F.struct("th", "s", "n")).alias("x"))
     asked = staged(asked.select("anchor", "context", "x.*"), "asked")
     size = asked.agg(F.coalesce(F.sum(F.col("n") + length), F.lit(0))).first()[0]
+    shards = max(1, -(-size // SORT_BYTES), min(size >> 20, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     by_text = asked.groupBy("th").agg(F.collect_list(F.struct("anchor", "context", "s", "n")).alias("asked"))
     least = docs.groupBy("th").agg(F.min("doc_id").alias("id_")).withColumnRenamed("th", "th_")
     by_text = by_text.join(least, F.col("th") == F.col("th_")).select(F.col("th").alias("th_"), "id_", "asked")
     wanted = docs.join(by_text, (F.col("th") == F.col("th_")) & F.col("doc_id").eqNullSafe(F.col("id_"))).select("text", "asked")
-    found = _sorted_repeats(_pieces(wanted, length).repartition(max(1, -(-size // SORT_BYTES)), "anchor"), length)
+    found = _sorted_repeats(_pieces(wanted, length).repartition(shards, "anchor").sortWithinPartitions("anchor", "context"), length)
     found = staged(found, "found")
     whole = r.where("twice").select("th", F.col("s").alias("a"), (F.col("s") + F.col("n") + (length - 1)).alias("b"))
     pairs = F.transform(F.sequence(F.lit(0), F.size("ranges") - 2, F.lit(2)), lambda i: F.struct(F.get("ranges", i).alias("a"), F.get("ranges", i + 1).alias("b")))
     part = r.where("not twice").join(found, ["anchor", "context"]).select("th", "s", F.explode(pairs).alias("p"))
     part = part.select("th", (F.col("s") + F.col("p.a")).alias("a"), (F.col("s") + F.col("p.b") + (length - 1)).alias("b"))
-    spans = whole.unionByName(part).groupBy("th").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    return staged(spans, "spans")
+    spans = whole.unionByName(part).unionByName(local).groupBy("th").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    spans = staged(spans, "spans")
+    for done in (all_rows, flags, asked, found):
+        discard(done)
+    return spans
 
 
 def _key(text: str = "text") -> Column:
@@ -223,12 +263,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
 
     Texts are bytes of UTF-8, null counts as empty, and matches never run from one document into the next. Every byte of
     a string of `length` bytes that starts somewhere else too is removed, also within one text and where strings overlap.
-    Repeated rows are documents of their own. Texts are told apart by a 64-bit hash of their bytes.
+    Repeated rows are documents of their own. Texts are told apart by 128 bits of hash: by 64, and where two differ in
+    another 64 by both. An empty table gives no rows; other columns are not read.
     """
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _key().alias("th"))
-    spans = removed_ranges(keyed, length)
+    text = F.coalesce("text", F.lit(""))
+    second = F.xxhash64(F.lit(7), text)
+    keyed = docs.select("doc_id", text.alias("text"), _key().alias("th"))
+    clash = staged(docs.select(_key().alias("th"), second.alias("x")).groupBy("th").agg(F.count(F.lit(1)).alias("copies"), F.min("x").alias("lo"), F.max("x").alias("hi")), "texts")
+    total = clash.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    clash = clash.where("lo <> hi").select(F.col("th").alias("clash"))
+    if not clash.isEmpty():
+        keyed = keyed.join(clash, F.col("th") == F.col("clash"), "left").withColumn("th", F.when(F.col("clash").isNotNull(), F.xxhash64("th", F.xxhash64(F.lit(7), "text"))).otherwise(F.col("th"))).drop("clash")
+    spans = removed_ranges(keyed, total, length)
     copies = keyed.groupBy("th").agg(F.count(F.lit(1)).alias("copies"))
-    extra = copies.join(spans, "th", "left").where("copies > 1 or spans is not null")
+    # written, so that both sides of the last join are plain scans and a text with very many copies is split there
+    extra = staged(copies.join(spans, "th", "left").where("copies > 1 or spans is not null"), "extra")
     joined = keyed.join(extra, "th", "left").select("doc_id", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "spans")
     return _cleaned(joined, length, with_text)
 

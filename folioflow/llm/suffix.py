@@ -8,8 +8,10 @@ position and common prefix with the entry before it. That value is induced too:
 into a list share one character more than the least of the common prefixes between the suffixes they came from.
 
 Orders and common prefixes are exact up to `depth` characters, which is all that the search for repeats of that length
-needs; the sorted seeds are found by refining groups of equal suffixes eight characters at a time until that depth.
-Each visit is a block of tuples in numpy.
+needs. The seeds are sorted by recursion on disk: too many for memory are dealt to one file for each next character, and
+every file is sorted by itself, in memory if it fits (refining groups of equal suffixes eight characters at a time), else by
+the character after. What cannot fit is never held: text, kinds, seeds and result are files that are mapped or read in
+blocks, and a visit is a block of tuples in numpy.
 """
 
 from __future__ import annotations
@@ -133,6 +135,36 @@ def _words(text: np.ndarray) -> np.ndarray:
     return np.ndarray((len(text) - 7,), ">u8", text, 0, (1,))
 
 
+def sorted_seeds(text: np.ndarray, seeds: np.ndarray, depth: int, folder: str, room: int, known: int = 0) -> Iterator[np.ndarray]:
+    """Seeds (an array or a mapped file) in the order of their suffixes, in pieces of at most `room`; `known` characters agree already."""
+    while len(seeds) > room and known < depth:
+        counts = np.zeros(256, np.int64)
+        for lo in range(0, len(seeds), BLOCK):
+            counts += np.bincount(text[seeds[lo : lo + BLOCK] + known], minlength=256)
+        known += 1
+        if np.count_nonzero(counts) > 1:
+            break
+    else:
+        if known >= depth:
+            yield from (np.array(seeds[lo : lo + room]) for lo in range(0, len(seeds), room))
+        elif len(seeds):
+            yield sort_seeds(text, np.array(seeds), depth)
+        return
+    here = tempfile.mkdtemp(prefix="seeds-", dir=folder)
+    for lo in range(0, len(seeds), BLOCK):
+        part = seeds[lo : lo + BLOCK]
+        char = text[part + known - 1]
+        order = np.argsort(char, kind="stable")
+        ends = np.cumsum(np.bincount(char, minlength=256))
+        for c in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
+            with open(os.path.join(here, str(c)), "ab") as f:
+                part[order[ends[c - 1] if c else 0 : ends[c]]].tofile(f)
+    for c in np.flatnonzero(counts).tolist():
+        yield from sorted_seeds(text, np.memmap(path := os.path.join(here, str(c)), np.int64, "r"), depth, folder, room, known)
+        os.remove(path)
+    os.rmdir(here)
+
+
 def sort_seeds(text: np.ndarray, seeds: np.ndarray, depth: int) -> np.ndarray:
     """Seeds in the order of their suffixes, exact to `depth` characters; groups of equal ones are refined by the next eight."""
     words = _words(text)
@@ -180,9 +212,9 @@ def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) ->
     return out
 
 
-def suffix_kinds(text: np.ndarray) -> np.ndarray:
-    """True where a suffix is smaller than the next one (S), in blocks from the end."""
-    kind = np.zeros(len(text), bool)
+def suffix_kinds(text: np.ndarray, path: str) -> np.ndarray:
+    """True where a suffix is smaller than the next one (S), in blocks from the end; a mapped file."""
+    kind = np.memmap(path, bool, "w+", shape=len(text))
     kind[-1] = True
     after = True
     for hi in range(len(text) - 1, 0, -BLOCK):
@@ -210,10 +242,27 @@ def sorted_blocks(text: np.ndarray, depth: int, folder: str, room: int) -> Itera
     text is uint8, ends with END and, after that, `pad(depth)` zeros.
     """
     body = text[: len(text) - pad(depth)]
-    kind = suffix_kinds(body)
-    seeds = sort_seeds(text, np.flatnonzero(kind[1:] & ~kind[:-1]) + 1, depth)
-    seed_lcp = np.append(np.uint8(0), common_prefix(text, seeds[:-1], seeds[1:], depth)).astype(np.uint8)
-    heads = np.searchsorted(body[seeds], np.arange(257))
+    kind = suffix_kinds(body, os.path.join(folder, "kinds"))
+    with open(found := os.path.join(folder, "found"), "wb") as f:
+        for lo in range(1, len(body), BLOCK):
+            hi = min(len(body), lo + BLOCK)
+            (np.flatnonzero(kind[lo:hi] & ~kind[lo - 1 : hi - 1]) + lo).tofile(f)
+    heads, last = np.zeros(257, np.int64), None
+    with open(at := os.path.join(folder, "seeds"), "wb") as f, open(common := os.path.join(folder, "common"), "wb") as g:
+        for part in sorted_seeds(text, _mapped(found, np.int64), depth, folder, max(room, 2)):
+            for lo in range(0, len(part), BLOCK):
+                pos = part[lo : lo + BLOCK]
+                before = np.append(pos[:1] if last is None else last, pos[:-1])
+                lcp = common_prefix(text, before, pos, depth)
+                if last is None:
+                    lcp[0] = 0
+                pos.tofile(f)
+                lcp.tofile(g)
+                last = pos[-1]
+                heads[1:] += np.bincount(body[pos], minlength=256)
+    os.remove(found)
+    heads = np.cumsum(heads)
+    seeds, seed_lcp = _mapped(at, np.int64), _mapped(common, np.uint8)
     waiting, ascending = Queues(folder, "l", room), Queues(folder, "a", room)
     up = Induction(body, kind, False, waiting, depth)
     for c in range(256):
@@ -227,7 +276,8 @@ def sorted_blocks(text: np.ndarray, depth: int, folder: str, room: int) -> Itera
                 line.append(more)
         waiting.drop(c)
         for lo in range(int(heads[c]), int(heads[c + 1]), BLOCK):
-            pos, lcp = seeds[lo : min(int(heads[c + 1]), lo + BLOCK)], seed_lcp[lo : min(int(heads[c + 1]), lo + BLOCK)].copy()
+            hi = min(int(heads[c + 1]), lo + BLOCK)
+            pos, lcp = np.array(seeds[lo:hi]), np.array(seed_lcp[lo:hi])
             if lo == heads[c]:  # what an L and an S suffix share is the run of their character
                 lcp[0] = 0 if last < 0 else min(_run(body, last, depth), _run(body, int(pos[0]), depth))
             up.visit(pos, lcp, c)
@@ -256,18 +306,23 @@ def sorted_blocks(text: np.ndarray, depth: int, folder: str, room: int) -> Itera
         ascending.drop(c)
 
 
+def _mapped(path: str, kind) -> np.ndarray:
+    return np.memmap(path, kind, "r") if os.path.getsize(path) else np.zeros(0, kind)
+
+
 def pad(depth: int) -> int:
     return depth + 16
 
 
-def repeated_starts(path: str, depth: int, room: int = 1 << 22) -> np.ndarray:
-    """Places of the text file (as written by `Writer`) whose next `depth` characters stand elsewhere too, as booleans."""
+def repeated_starts(path: str, depth: int, room: int = 1 << 22, folder: str | None = None) -> np.ndarray:
+    """Places of the text file (as written by `Writer`) whose next `depth` characters stand elsewhere too, as booleans in a file
+    mapped from `folder` (of the text, if none is given). At most about `room` tuples, and some blocks, are in memory."""
     text = np.memmap(path, np.uint8, "r")
-    out = np.zeros(len(text), bool)
-    folder = tempfile.mkdtemp(prefix="suffix-")
+    out = np.memmap(os.path.join(folder or os.path.dirname(path), "repeated"), bool, "w+", shape=len(text))
+    work = tempfile.mkdtemp(prefix="suffix-", dir=folder or os.path.dirname(path))
     try:
         before = -1
-        for pos, lcp in sorted_blocks(text, depth, folder, room):
+        for pos, lcp in sorted_blocks(text, depth, work, room):
             same = np.flatnonzero(lcp >= depth)
             out[pos[same]] = True
             out[pos[same[same > 0] - 1]] = True
@@ -275,7 +330,7 @@ def repeated_starts(path: str, depth: int, room: int = 1 << 22) -> np.ndarray:
                 out[before] = True
             before = int(pos[-1]) if len(pos) else before
     finally:
-        shutil.rmtree(folder, ignore_errors=True)
+        shutil.rmtree(work, ignore_errors=True)
     return out
 
 
