@@ -5,8 +5,9 @@ different texts are cut alike. What a chunk encodes to does not depend on its ne
 join of two chunks is repaired by re-encoding from the last token boundary that the left chunk is certain of to the
 first that the right chunk is certain of; a chunk that is certain of none is taken into the join, which so grows until
 both sides agree. A boundary is certain where white space follows a visible ASCII character: the splitting rule never
-puts the two into one piece and its look-ahead never looks back across the place. The tokens are therefore exactly
-those of the whole text.
+puts the two into one piece and its look-ahead never looks back across the place. So each chunk by itself, both chunks
+together and the whole text have a token boundary there and the same tokens between two such places; the tests hold
+chunks and joins against each other, and the whole against the tokenizer. The tokens are exactly those of the whole text.
 
 Chunks and joins are looked up in a store before they are encoded. The store is one of a task's worker process, bounded
 in bytes by two generations, so a passage is encoded once in each worker however many documents there share it. A store
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 
 from .common import table, text_slices
 
-SPECIAL = b"<|endoftext|>"
 CHUNK_BITS = 8
 STORE_BYTES = 24 << 20
 _GEAR = ((np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
@@ -57,12 +57,29 @@ class Encoder:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        model, before = spec["model"], spec["pre_tokenizer"] or {}
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # byte-level BPE shows these as they are
         rest = [b for b in range(256) if b not in set(plain)]
         byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+        raw = lambda t: bytes(byte[c] for c in t)
+        vocab, added = model["vocab"], spec["added_tokens"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        merged = [vocab[a + b] for a, b in pairs]
+        # what the chunks rely on, and what the library for the merges takes from the order of ids
+        checks = {
+            "a byte-level BPE model": model["type"] == "BPE" and before.get("type") == "ByteLevel" and (spec["decoder"] or {}).get("type") == "ByteLevel",
+            "the usual splitting rule without a blank put in front": before.get("use_regex", True) and not before.get("add_prefix_space"),
+            "no normalizer and no post-processor": spec["normalizer"] is None and spec["post_processor"] is None,
+            "plain merges": not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")),
+            "ids in the order of the merges": merged == sorted(set(merged)) and all(c in vocab for c in byte) and len(vocab) - len([t for t in added if t["content"] in vocab]) == 256 + len(pairs) and max(vocab[c] for c in byte) < min(merged, default=256),
+            "special tokens that stand for themselves": all(t["special"] and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in added),
+        }
+        if missing := [name for name, ok in checks.items() if not ok]:
+            raise ValueError(f"{path} is not {' and '.join(missing)}")
+        self.special = {t["content"]: t["id"] for t in added}
+        self.guards = [t.encode() for t in self.special]
+        ranks = {raw(t): i for t, i in vocab.items() if t not in self.special}
+        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed: the rule of ByteLevel
         self.ranks = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self.special)
         self.bytes = {i: t for t, i in ranks.items()} | {i: t.encode() for t, i in self.special.items()}
         self.decimal = {i: str(i) for i in self.bytes}
@@ -111,8 +128,9 @@ def piece_bounds(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 def encoded(docs: DataFrame, tokenizer: str, keep: list[str]) -> DataFrame:
     """The columns `keep`, then n_tokens, ids (comma-joined decimals), decoded (text).
 
-    A null text counts as empty and gives no tokens. The special token's string is encoded as that token, as the
-    tokenizer does; a text that holds it is encoded as a whole.
+    A null text counts as empty and gives no tokens. A special token's string is encoded as that token, as the tokenizer
+    does; a text that holds one is encoded as a whole. Texts of any length are encoded whole, in memory of their size.
+    Repeated rows stay, an empty table gives no rows, and a tokenizer file that works otherwise is refused.
     """
     schema = docs.select(*keep).schema.add("n_tokens", "long").add("ids", "string").add("decoded", "string")
     return _each(docs, tokenizer, keep, schema, lambda ids, text: (ids, text.decode("utf-8", "replace")))
@@ -136,7 +154,7 @@ def _each(docs: DataFrame, tokenizer: str, keep: list[str], schema, finish) -> D
                 data = buf.tobytes()
                 n, first, second = [], [], []
                 for s, e, i, j in zip(off[:-1].tolist(), off[1:].tolist(), from_.tolist(), upto.tolist(), strict=True):
-                    if data.find(SPECIAL, s, e) >= 0:
+                    if any(data.find(g, s, e) >= 0 for g in enc.guards):
                         parts = [enc.encode(data[s:e])]
                     else:
                         at = [s, *ends[i:j].tolist()]

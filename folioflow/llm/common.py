@@ -27,10 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir, or a folder of our own where it is unset (tests)."""
+    """The folder every executor sees: spark.checkpoint.dir, or a folder of our own where it is unset and all run here (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir is to name a folder that the driver and all executors share")
     own = getattr(shared_dir, "own", None)
     if own is None:
         own = shared_dir.own = tempfile.mkdtemp(prefix="folioflow-")

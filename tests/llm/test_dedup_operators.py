@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -79,6 +80,20 @@ def test_simhash_components(spark, odd_docs, no_docs):
     assert len(links) > 20 and simhash.simhash_components(no_docs).count() == 0
 
 
+def _check_repeats(docs):
+    all_rows = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
+    seen = Counter(b[i : i + 200] for _, b in all_rows for i in range(len(b) - 199))
+    want = Counter()
+    for d, b in all_rows:
+        gone = bytearray(len(b))
+        for i in range(len(b) - 199):
+            if seen[b[i : i + 200]] > 1:
+                gone[i : i + 200] = b"\x01" * 200
+        kept = bytes(x for x, y in zip(b, gone, strict=True) if not y)
+        want[d, len(b), sum(gone), len([1 for i, y in enumerate(gone) if y and (i == 0 or not gone[i - 1])]), hashlib.sha256(kept).hexdigest()] += 1
+    assert Counter(tuple(r) for r in repeats.remove_repeats(docs).collect()) == want
+
+
 def test_suffix_sort_finds_repeats(tmp_path):
     random.seed(3)
     for trial in range(25):
@@ -89,29 +104,57 @@ def test_suffix_sort_finds_repeats(tmp_path):
         w = suffix.Writer(str(tmp_path / "t"), depth)
         at = [w.add(s) for s in segments]
         w.close()
-        found = suffix.repeated_starts(str(tmp_path / "t"), depth, random.choice([50, 1 << 20]))
+        found = suffix.repeated_starts(str(tmp_path / "t"), depth, random.choice([3, 50, 1 << 20]))
         seen = Counter(s[i : i + depth] for s in segments for i in range(len(s) - depth + 1))
         for a, s in zip(at, segments, strict=True):
             assert found[a : a + max(0, len(s) - depth + 1)].tolist() == [seen[s[i : i + depth]] > 1 for i in range(len(s) - depth + 1)], trial
 
 
+def test_suffix_sort_of_a_shard_larger_than_memory(tmp_path):
+    """In a process that may not allocate as much as one copy of what the sort would need in memory, mapped files aside."""
+    import subprocess
+    import sys
+
+    code = """
+import random, sys, tracemalloc
+import numpy as np
+from folioflow.llm import suffix
+suffix.BLOCK = 1 << 13
+rng = np.random.default_rng(1)
+w = suffix.Writer(sys.argv[1] + "/t", 200)
+base = rng.integers(97, 123, 3000).astype(np.uint8)
+n = 0
+for i in range(400):
+    a = int(rng.integers(0, 2000))
+    s = base[a : a + 600] if i % 4 == 0 else rng.integers(97, 99, 4000).astype(np.uint8) if i % 4 == 1 else rng.integers(97, 123, 4000).astype(np.uint8)
+    n += len(s)
+    w.add(s.tobytes())
+w.close()
+tracemalloc.start()
+found = suffix.repeated_starts(sys.argv[1] + "/t", 200, 1 << 13)
+print(n, tracemalloc.get_traced_memory()[1], int(found.sum()))
+"""
+    got = subprocess.run([sys.executable, "-c", code, str(tmp_path)], capture_output=True, text=True, cwd=os.path.dirname(corpus_pipeline.__file__))
+    size, peak, found = map(int, got.stdout.split())
+    assert size > 1_200_000 and found > 30_000 and peak < size, got.stderr
+
+
+def test_repeats_of_shared_passages_and_periods(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_DOCS", 3)
+    random.seed(21)
+    words = lambda n: " ".join(random.choice(["the", "house", "x1", "water,"]) + str(random.randint(0, 999)) for _ in range(n))
+    passage, period = words(70), words(9)
+    rows = [(i, words(30) + passage[random.randint(0, 30) :] + words(30)) for i in range(30)] + [(100 + i, words(20) + period * (8 + i) + words(10)) for i in range(4)] + [(200, words(40) + period * 3 + words(40)), (201, "ab" * 5000), (202, words(50) * 2)]
+    _check_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
 def test_repeats(spark, odd_docs, no_docs):
     random.seed(9)
     words = lambda n: " ".join(random.choice(["the", "house", "été", "x1", "water,"]) + str(random.randint(0, 99)) for _ in range(n))
     shared = [words(60) for _ in range(3)]
     rows = [(100 + i, words(random.randint(5, 60)) + random.choice(shared)[random.randint(0, 50) :] + words(20)) for i in range(25)] + [(200, "a" * 700), (201, "b" * 199), (202, "ab" * 260)]
     docs = odd_docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
-    all_rows = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
-    seen = Counter(b[i : i + 200] for _, b in all_rows for i in range(len(b) - 199))
-    want = Counter()
-    for d, b in all_rows:
-        gone = bytearray(len(b))
-        for i in range(len(b) - 199):
-            if seen[b[i : i + 200]] > 1:
-                gone[i : i + 200] = b"\x01" * 200
-        kept = bytes(x for x, y in zip(b, gone, strict=True) if not y)
-        want[d, len(b), sum(gone), len([1 for i, y in enumerate(gone) if y and (i == 0 or not gone[i - 1])]), hashlib.sha256(kept).hexdigest()] += 1
-    assert Counter(tuple(r) for r in repeats.remove_repeats(docs).collect()) == want
+    _check_repeats(docs)
     assert repeats.remove_repeats(no_docs).count() == 0
 
 
@@ -191,13 +234,32 @@ def test_vectors_near_the_limit_and_odd_rows(spark):
 
 
 def test_pipeline_stages(spark, odd_docs, no_docs):
-    for docs in (odd_docs, no_docs):
-        d = docs
-        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-            out = stage(spark, docs, "")  # every stage takes rows of any kind
-            assert out.count() >= 0, name
-            if k < len(corpus_pipeline.STAGES) - 1:
-                assert out.columns == docs.columns, name
+    """Every stage takes rows of any kind: all columns but what it changes come back, row by row."""
+    plain = lambda rows, drop=(): Counter(tuple(v for k, v in r.asDict().items() if k not in drop) for r in rows)
+    given = odd_docs.collect()
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, no_docs, "")
+        assert out.count() == 0 and (name == "bpe" or out.columns == no_docs.columns), name
+    quality = corpus_pipeline.quality_rules(spark, odd_docs, "").collect()
+    assert not quality  # all have fewer than 50 words or repeat themselves
+    own = odd_docs.select(*odd_docs.columns).withColumn("text", F.when(F.col("doc_id") == 4, F.lit(" ".join(f"v{k}" for k in range(5000)))).otherwise(F.col("text")))
+    assert plain(corpus_pipeline.quality_rules(spark, own, "").collect()) == plain(own.where("doc_id = 4").collect())
+    near = corpus_pipeline.near_dedup(spark, odd_docs, "").collect()
+    # the copy of 1 goes, and of the texts without words (2, 3, 6) the one with the smallest id stays
+    assert plain(near) == plain([r for i, r in enumerate(given) if i not in (1, 3, 8)])
+    private = corpus_pipeline.personal_data(spark, odd_docs, "").collect()
+    assert plain(private, ("text", "n_chars")) == plain(given, ("text", "n_chars")) and sum("<email>" in (r.text or "") for r in private) == 2
+    mixed = corpus_pipeline.mixing(spark, odd_docs, "").collect()
+    assert set(plain(mixed)) <= set(plain(given)) and max(plain(mixed).values()) <= 6
+    coded = corpus_pipeline.tokens(spark, odd_docs, "").collect()
+    assert Counter(r.doc_id for r in coded) == Counter(r.doc_id for r in given) and all(r.exact for r in coded)
+
+
+def test_rows_that_differ_in_any_column_are_different(spark):
+    rows = [(1, "same text", "en", None, 5), (1, "same text", None, "en", 5), (1, "same text", "en", None, 6), (1, "same text", "en", None, 5)]
+    keyed, key = corpus_pipeline._keyed(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    got = [r[key] for r in keyed.collect()]
+    assert got[0] == got[3] and len(set(got)) == 3 and all(len(k) == 32 for k in got)
 
 
 def test_pipeline_decisions(spark):

@@ -68,6 +68,44 @@ def test_bpe_agrees_with_the_tokenizer(spark, odd_docs, no_docs):
     assert all((r.text or "") == r.decoded for r in bpe.encoded(odd_docs, path, ["doc_id", "text"]).collect())
 
 
+def test_bpe_chunks_agree_where_they_are_certain():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    words = ["the", "it's", "straße,", "12,345", "été", "(a)", "x--y", "\U0001f600", "...", "中文", "don't!", "A.B."]
+    text = "".join(words[i] + [" ", "  ", "\n", "\n\n", "\t", " "][j] for i, j in zip(rng.integers(0, len(words), 3000), rng.integers(0, 6, 3000), strict=True))
+    data = text.encode()
+    buf = np.frombuffer(data, np.uint8)
+    enc = bpe.Encoder(bpe.default_tokenizer())
+    ends = lambda a, b: dict(zip((a + np.cumsum([len(enc.bytes[i]) for i in ids])).tolist(), ids, strict=True)) if (ids := enc.ranks.encode(data[a:b].decode(), allowed_special="all")) else {}
+    whole = ends(0, len(data))
+    cuts = [0, *bpe.cut_points(buf).tolist(), len(data)]
+    bounds = bpe.piece_bounds(buf, np.array([0, len(data)])).tolist()
+    agreed = 0
+    for a, b, c in zip(cuts, cuts[1:], cuts[2:]):
+        left, right, both = ends(a, b), ends(b, c), ends(a, c)
+        lo, hi = max((x for x in bounds if a < x <= b), default=None), min((x for x in bounds if b < x <= c), default=None)
+        if lo is None or hi is None:
+            continue
+        # the left chunk up to the join, the right one after it, and the two together say what the whole text does
+        assert lo in left and hi in right and {lo, hi} <= set(both) & set(whole)
+        inner = [x for x in whole if x > min(y for y in bounds if y > a) and x <= lo]
+        assert [whole[x] for x in inner] == [left[x] for x in inner] and all(both[x] == whole[x] for x in whole if lo < x <= hi)
+        agreed += 1
+    assert agreed > 20
+
+
+def test_bpe_refuses_other_tokenizers(tmp_path):
+    import json
+
+    with open(bpe.default_tokenizer(), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["model"]["merges"][5], spec["model"]["merges"][6] = spec["model"]["merges"][6], spec["model"]["merges"][5]
+    (tmp_path / "a.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="order of the merges"):
+        bpe.Encoder(str(tmp_path / "a.json"))
+
+
 def test_bpe_store_stays_bounded():
     enc = bpe.Encoder(bpe.default_tokenizer(), store_bytes=20_000)
     for i in range(2000):
