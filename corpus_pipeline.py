@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import bpe, pii
-from folioflow.llm.common import staged, table
+from folioflow.llm.common import discard, staged, table
 from folioflow.llm.mixing import mix
 from folioflow.llm.quality import quality
 from folioflow.llm.simhash import rooted
@@ -25,13 +25,17 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """docs with a key of the row's content; equal rows share it, ids and sources may be null."""
+    """docs with a key of all the row holds, 128 bits of hash in hexadecimal: rows share it if they are equal in every column."""
     key = _free(docs, "_key")
-    return docs.withColumn(key, F.xxhash64("doc_id", "source", "text")), key
+    # a null leaves a hash as it was, so that a value may not stand for its neighbour's, columns are marked where they are null
+    cells = [x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    halves = [F.lpad(F.hex(F.xxhash64(F.lit(seed), *cells)), 16, "0") for seed in (1, 2)]
+    return docs.withColumn(key, F.concat(*halves)), key
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or are depleted of own lines go."""
+    """Documents that fail the base rules or are depleted of own lines go, null and empty texts among them. Repeated rows share
+    their fate; an empty table stays empty."""
     keyed, key = _keyed(docs)
     rejected = quality(keyed, (key,)).where("not kept").select(key).distinct()
     return keyed.join(rejected, key, "left_anti").select(docs.columns)
@@ -67,7 +71,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every whole text, and whether decoding them gave the text back."""
+    """Token ids of every whole text, and whether decoding them gave the text back. Null texts have none; repeated rows stay."""
     d = bpe.encoded(docs, bpe.default_tokenizer(), ["doc_id", "lang", "source", "text"])
     return d.select("doc_id", "lang", "source", "n_tokens", "ids", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("exact"))
 
@@ -85,8 +89,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    last = None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = staged(docs, "stage")
+            if last is not None:
+                discard(last)
+            last = docs
     return docs
