@@ -53,10 +53,11 @@ def to_points(b: Column, raster_w: Column, raster_h: Column, page: Column) -> Co
     return F.when((x0 < x1) & (y0 < y1), box(x0, y0, x1, y1))
 
 
-def coverage(images: Column, page_area: Column) -> Column:
-    """Share of the page under its largest image, to three places."""
+def coverage(images: Column, page_area: Column, exact: bool = False) -> Column:
+    """Share of the page under its largest image, to three places, or exactly."""
     top = F.array_max(F.transform(images, lambda b: area(b) / page_area))
-    return F.when(page_area > 0, F.bround(F.coalesce(top, F.lit(0.0)), 3)).otherwise(0.0)
+    share = F.coalesce(top, F.lit(0.0))
+    return F.when(page_area > 0, share if exact else F.bround(share, 3)).otherwise(0.0)
 
 
 def text_share(blocks: Column, page_area: Column) -> Column:

@@ -56,10 +56,11 @@ def lines(pages: DataFrame, body: DataFrame, cfg: Native | None = None) -> DataF
     return d.select(*key, "box", "text", F.col("main.size").alias("size"), heading.alias("is_heading"))
 
 
-def native_units(pages: DataFrame, body: DataFrame, cfg: Native | None = None) -> DataFrame:
+def native_units(pages: DataFrame, body: DataFrame, cfg: Native | None = None, flag_junk: bool = False) -> DataFrame:
     """Units of native pages in reading order: doc_id, page, seq, bbox, type, content, level, font_size, storage_key, source, needs_review.
 
     A heading line is a unit; body lines between headings of a block are one paragraph; image blocks of some size are figures.
+    Texts are not judged here but by the gate; the first version flagged paragraphs with junk at once (`flag_junk`).
     """
     cfg = cfg or Native()
     within = Window.partitionBy("doc_id", "page", "block").orderBy("line")
@@ -75,9 +76,10 @@ def native_units(pages: DataFrame, body: DataFrame, cfg: Native | None = None) -
     d = heads.unionByName(paras).unionByName(figs)
     page = Window.partitionBy("doc_id", "page")
     nth = F.sum(F.when(F.col("type") == "figure", 1).otherwise(0)).over(page.orderBy("block", "line")) - 1
+    flagged = (F.col("type") == "text") & T.has_junk(F.col("content")) if flag_junk else F.lit(False)
     key = F.when(F.col("type") == "figure", F.format_string("figures/p%04d_f%02d.png", F.col("page").cast("int"), nth.cast("int")))
     d = d.withColumn("storage_key", key).withColumn("seq", F.row_number().over(page.orderBy("block", "line")).cast("long") - 1)
-    return d.select("doc_id", "page", "seq", "bbox", "type", "content", F.lit(None).cast("int").alias("level"), "font_size", "storage_key", F.lit("pymupdf").alias("source"), F.lit(False).alias("needs_review"))
+    return d.select("doc_id", "page", "seq", "bbox", "type", "content", F.lit(None).cast("int").alias("level"), "font_size", "storage_key", F.lit("pymupdf").alias("source"), flagged.alias("needs_review"))
 
 
 def drawing_units(pages: DataFrame, routes: DataFrame) -> DataFrame:

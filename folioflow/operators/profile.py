@@ -10,10 +10,11 @@ from folioflow.functions import geometry as G
 from folioflow.functions import text as T
 
 
-def profile_pages(pages: DataFrame, rules: Lanes | None = None) -> DataFrame:
+def profile_pages(pages: DataFrame, rules: Lanes | None = None, exact_coverage: bool = False) -> DataFrame:
     """(doc_id, page) and eight measurements. Vector items are only looked at where there is little text; null says not measured.
 
-    pages: doc_id, page, width, height, text, images, text_blocks, n_drawings.
+    pages: doc_id, page, width, height, text, images, text_blocks, n_drawings. Coverage is rounded to three places before it is
+    judged, unless it is to be exact, as the first version of the rules had it.
     """
     rules = rules or Lanes()
     t = T.strip(F.coalesce("text", F.lit("")))
@@ -22,7 +23,7 @@ def profile_pages(pages: DataFrame, rules: Lanes | None = None) -> DataFrame:
     return d.select(
         "doc_id", "page", F.length("text").alias("text_chars"), T.compact_length(F.col("text")).alias("text_compact_chars"),
         T.junk_count(F.col("text")).alias("junk_chars"), T.mojibake_count(F.col("text")).alias("mojibake_chars"),
-        G.coverage(F.col("images"), page_area).alias("max_image_coverage"), G.text_share(F.col("text_blocks"), page_area).alias("text_bbox_area_frac"),
+        G.coverage(F.col("images"), page_area, exact_coverage).alias("max_image_coverage"), G.text_share(F.col("text_blocks"), page_area).alias("text_bbox_area_frac"),
         F.when(F.length("text") < rules.least_text, F.col("n_drawings")).alias("vector_segments"),
     )
 

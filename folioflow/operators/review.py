@@ -30,9 +30,10 @@ def gate_units(units: DataFrame, transcripts: DataFrame) -> DataFrame:
     return d.withColumn("needs_review", F.coalesce("needs_review", F.lit(False)) | (F.size("reasons") > 0)).drop("reasons")
 
 
-def gate_tables(tables: DataFrame, cfg: Stitching | None = None) -> DataFrame:
-    """Tables with reason, flag and key of the crop; a rejected table loses its renderings, not its cells."""
-    junk = TB.junk_cells(F.col("cells"))
+def gate_tables(tables: DataFrame, cfg: Stitching | None = None, marks: bool = True) -> DataFrame:
+    """Tables with reason, flag and key of the crop; a rejected table loses its renderings, not its cells. Without `marks`, cells
+    are junk by their characters alone, as in the first version."""
+    junk = TB.junk_cells(F.col("cells"), marks)
     reason = F.coalesce(TB.validation_reason(F.col("cells"), (cfg or Stitching()).filled), F.when((F.col("source") == "find_tables") & (junk > 0), F.format_string("junk in %d cells", junk)))
     d = tables.withColumn("review_reason", reason).withColumn("needs_review", F.col("review_reason").isNotNull())
     d = d.withColumn("crop_key", F.when(F.col("needs_review"), F.format_string("figures/%s_review.png", "table_id")))

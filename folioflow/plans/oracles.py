@@ -316,7 +316,7 @@ SQL: dict[str, str] = {
     "route_counts": _with(PROFILES, ROUTES, then="select doc_id, extractor, count(*) as pages from routes group by all"),
     "page_profiles": _with(PROFILES, then="select * from profiles"),
     "page_routes": _with(PROFILES, ROUTES, then="select doc_id, page, extractor, array_to_string(reasons, '|') as reasons from routes"),
-    "page_routes_first_reason": _with(PROFILES, ROUTES, then="select doc_id, page, extractor, reasons[1] as reasons from routes"),
+    "page_routes_first_reason": _with(PROFILES.replace("round_even(coalesce(image, 0) / (595.0 * 842.0)::double, 3)::double as max_image_coverage", "(coalesce(image, 0) / (595.0 * 842.0)::double)::double as max_image_coverage"), ROUTES, then="select doc_id, page, extractor, reasons[1] as reasons from routes"),
     "text_layer_evidence": _with(PROFILES, ROUTES, then="select doc_id, page, case when text_chars >= 50 and max_image_coverage <= 0.70 then text_chars end as text_layer_chars from profiles join routes using (doc_id, page) where extractor = 'vlm'"),
     "text_scores": _with(PAGES, SCORES, then="select doc_id, page, junk, orphans, symbols, case when compact > 0 then junk / compact else 0.0 end as junk_ratio, case when compact > 0 then (orphans + symbols) / compact else 0.0 end as mojibake_ratio from scores"),
     "text_forms": _with(UNITS, then=rf"select doc_id, seq, {NORM} as furniture, case when regexp_extract(content, '^(\p{{Nd}}+(?:\.\p{{Nd}}+)*)\.?{WS}', 1) <> '' then len(regexp_extract_all(regexp_extract(content, '^(\p{{Nd}}+(?:\.\p{{Nd}}+)*)\.?{WS}', 1), '\.')) + 1 end::int as depth, regexp_matches(content, '^\p{{Nd}}+(\.\p{{Nd}}+)*\.?{WS}+[^\s\x{{b}}\x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]') as numbered, {tokens('content')} as tokens, substr(content, 1, 120) as excerpt, replace(content, '|', '\|') as escaped, {collapse('content')} as collapsed from units"),

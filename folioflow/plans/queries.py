@@ -39,7 +39,8 @@ def page_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_routes_first_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.route_pages(page_profiles(spark, sf_dir), first_reason_only=True).withColumn("reasons", _list("reasons"))
+    """The first version's rules: one reason to a page, coverage not rounded."""
+    return P.route_pages(P.profile_pages(S.pages_in(spark, sf_dir), exact_coverage=True), first_reason_only=True).withColumn("reasons", _list("reasons"))
 
 
 def text_layer_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:

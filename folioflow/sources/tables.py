@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 from typing import Protocol
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +47,51 @@ def decode_files(spark: SparkSession, path: str, make_decoder: Callable[[], Deco
     return files.mapInPandas(run, f"doc_id string, {schema}, reject_reason string")
 
 
+class Detector(Protocol):
+    """Finds regions on a raster: (label, confidence, x0, y0, x1, y1) in its pixels."""
+
+    def regions(self, image: bytes) -> Iterable[tuple[str, float, float, float, float, float]]: ...
+
+
+_detectors: dict[bytes, Detector] = {}
+
+
+def detect_regions(rasters: DataFrame, make_detector: Callable[[], Detector], labels: tuple[str, ...] = ("table", "figure"), least: float = 0.2, pad: float = 10.0) -> DataFrame:
+    """(doc_id, page, idx, label, conf, box_pdf) from rasters (doc_id, page, image, raster_w, raster_h, page_box), through an injected
+    detector, one to a worker process.
+
+    Other labels and regions below the least confidence are dropped; confidences are rounded to three places; boxes are
+    padded, cut to the raster and turned into points. idx numbers the regions that are left, in the detector's order; a
+    region of which nothing lies on the page goes.
+    """
+    made_by = cloudpickle.dumps(make_detector)
+    schema = "doc_id string, page int, n int, label string, conf double, x0 double, y0 double, x1 double, y1 double"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if made_by not in _detectors:
+            _detectors[made_by] = cloudpickle.loads(made_by)()
+        for pdf in frames:
+            rows = [(d, p, n, *r) for d, p, image in zip(pdf["doc_id"], pdf["page"], pdf["image"], strict=True) for n, r in enumerate(_detectors[made_by].regions(bytes(image)))]
+            yield pd.DataFrame(rows, columns=["doc_id", "page", "n", "label", "conf", "x0", "y0", "x1", "y1"])
+
+    found = rasters.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page").cast("int").alias("page"), "image").mapInPandas(run, schema)
+    found = found.where(F.col("label").isin(*labels) & (F.col("conf") >= least)).withColumn("conf", F.round("conf", 3))
+    d = found.join(rasters.select("doc_id", "page", "raster_w", "raster_h", "page_box"), ["doc_id", "page"])
+    w, h = F.col("raster_w").cast("double"), F.col("raster_h").cast("double")
+    points = G.to_points(G.pad_pixels(G.box(*(F.col(c) for c in ("x0", "y0", "x1", "y1"))), pad, w, h), w, h, F.col("page_box"))
+    d = d.withColumn("box_pdf", points).where("box_pdf is not null")
+    idx = F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("n")) - 1
+    return d.select("doc_id", "page", idx.alias("idx"), "label", "conf", "box_pdf")
+
+
+def write_figures(images: DataFrame, folder: str) -> DataFrame:
+    """Images (doc_id, storage_key, image) as a table by document below folder; returns (doc_id, storage_key, digest), the digests that
+    tell equal figures. A row without bytes is a figure that was not stored, and has none."""
+    d = images.where("image is not null")
+    d.write.mode("overwrite").partitionBy("doc_id").parquet(folder)
+    return d.select("doc_id", "storage_key", F.sha2("image", 256).alias("digest"))
+
+
 def write_artifact(df: DataFrame, path: str, kind: str = "parquet", by_doc: bool = False) -> None:
     """Parquet, or JSON with one record to a line; by_doc makes a folder for each document."""
     w = df.write.mode("overwrite")

@@ -32,6 +32,15 @@ def _unit(doc, page, seq, y0, y1, kind, content, level=None, size=None, source="
     return (doc, page, seq, (72.0, float(y0), 500.0, float(y1)), kind, content, level, size, None, source, review)
 
 
+def test_first_version_rules(spark):
+    box = (0.0, 0.0, 100.0, 70.04)  # 0.7004 of the page: above the limit, but not once it is rounded
+    pages = spark.createDataFrame([("d", 0, 100.0, 100.0, "x" * 80 + "\x01" * 30, [box], [], 0)], f"doc_id string, page int, width double, height double, text string, images array<{G.BOX}>, text_blocks array<{G.BOX}>, n_drawings int")
+    new, old = P.route_pages(P.profile_pages(pages)).first(), P.route_pages(P.profile_pages(pages, exact_coverage=True), first_reason_only=True).first()
+    assert new.reasons == ["junk characters: 30"] and old.reasons == ["raster covers the page"]
+    cells = spark.createDataFrame([([["a\x01", "\u093f\u0935"], ["b", "c"]],)], f"cells {TB.CELLS}")
+    assert cells.select(TB.junk_cells(F.col("cells")), TB.junk_cells(F.col("cells"), marks=False)).first()[:] == (2, 1)
+
+
 def test_furniture(spark):
     rows = [_unit("a", p, p * 10 + k, y, y + 10, "text", t) for p in range(5) for k, (y, t) in enumerate([(20, "Header"), (820, f"Page {p + 1} of 5"), (400, f"body {'abcde'[p]}")])]
     rows += [_unit("b", p, p, 400, 410, "text", "Same body") for p in range(5)] + [_unit("b", p, 10 + p, 20, 30, "title", "Heading") for p in range(2)]

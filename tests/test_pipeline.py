@@ -103,6 +103,23 @@ def test_files_through_a_decoder(spark, tmp_path):
     assert [(r.doc_id, r.reject_reason) for r in got if r.reject_reason] == [("two", "unreadable")]
 
 
+def test_regions_through_a_detector(spark):
+    class Detector:
+        def regions(self, image):
+            return [("table", 0.91249, 100, 200, 300, 400), ("text", 0.9, 0, 0, 5, 5), ("figure", 0.1, 0, 0, 9, 9), ("table", 0.5, 2000, 0, 2100, 50), ("figure", 0.75, 0, 0, 990, 10)] if image == b"full" else []
+
+    rasters = spark.createDataFrame([("d", 0, b"full", 1000, 2000, (0.0, 0.0, 500.0, 1000.0)), ("d", 1, b"", 1000, 2000, (0.0, 0.0, 500.0, 1000.0))], f"doc_id string, page int, image binary, raster_w int, raster_h int, page_box {G.BOX}")
+    got = S.detect_regions(rasters, Detector).orderBy("idx").collect()
+    assert [(r.page, r.idx, r.label, r.conf, tuple(r.box_pdf)) for r in got] == [(0, 0, "table", 0.912, (45.0, 95.0, 155.0, 205.0)), (0, 1, "figure", 0.75, (0.0, 0.0, 500.0, 10.0))]
+
+
+def test_figures(spark, tmp_path):
+    d = spark.createDataFrame([("d", "a.png", b"x"), ("d", "b.png", b"x"), ("e", "a.png", None)], "doc_id string, storage_key string, image binary")
+    digests = {r.storage_key: r.digest for r in S.write_figures(d, str(tmp_path / "figures")).collect()}
+    assert set(digests) == {"a.png", "b.png"} and len(set(digests.values())) == 1
+    assert spark.read.parquet(str(tmp_path / "figures")).where("doc_id = 'd'").count() == 2
+
+
 def test_artifacts(spark, tmp_path):
     d = spark.createDataFrame([("a", 1, ["x"]), ("b", 2, [])], "doc_id string, page int, reasons array<string>")
     for kind in ("parquet", "json"):
