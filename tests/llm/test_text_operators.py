@@ -341,6 +341,35 @@ def test_viterbi_skips_nothing():
         assert got[a:b].tolist() == best[::-1]
 
 
+def test_mixing_draws_like_a_plain_sort(spark, monkeypatch):
+    """The Pareto sample of every source against sorting all its documents by their key."""
+    monkeypatch.setattr(mixing, "RANGES", 4)  # ends of quotas are looked for in three levels of few ranges
+    rows = [(i, " ".join(["w"] * (i * 7 % 53)), s) for s, n in (("a", 40), ("b", 700), ("c", 350), (None, 90)) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    u = {(r.doc_id, r.source): r.u for r in docs.select("doc_id", "source", ((F.shiftrightunsigned(F.xxhash64(F.lit(20), "doc_id", "source", "text"), 11).cast("double") + 0.5) / float(1 << 53)).alias("u")).collect()}
+    got = {(r.doc_id, r.source): r for r in mixing.mix(docs, ("doc_id", "source")).collect()}
+    partial = 0
+    for source in ("a", "b", "c", None):
+        mine = [(k, r.size) for k, r in got.items() if k[1] == source]
+        total, target = sum(n for _, n in mine), next(r.target for k, r in got.items() if k[1] == source)
+        whole = int(target / total + 1e-12)
+        quota = target - whole * total
+        mean = total / len(mine)
+        weight = {k: max(1.0, min(n, mean)) for k, n in mine}
+        scale = sum(weight[k] * n for k, n in mine)
+        key = {}
+        for k, _ in mine:
+            p = min(max(quota * weight[k] / scale, 1e-9), 1 - 1e-9)
+            key[k] = (u[k] / (1 - u[k])) / (p / (1 - p))
+        filled, want = 0, {}
+        for k, n in sorted(mine, key=lambda x: key[x[0]]):
+            want[k] = whole + int(quota > 0 and filled + n / 2 <= quota)
+            filled += n
+        partial += 0 < sum(want.values()) - whole * len(mine) < len(mine)
+        assert {k: got[k].copies for k in want} == want
+    assert partial >= 2
+
+
 def test_mixing(spark, odd_docs, no_docs):
     rows = [(i, " ".join(["w"] * (i % 37 + 1)), s) for s, n in (("a", 300), ("b", 900), ("c", 500), (None, 200)) for i in range(n)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
