@@ -45,7 +45,7 @@ BLOCK = 4000
 CELLS = 2
 #: Rows of one shard that are compared with its pivots, or searched for in it, in one task.
 SALT_ROWS = 20_000
-BEAM = 24
+BEAM = 10
 MEDOIDS = 32
 AUDIT = 4096  # audited vectors that are compared in one pass
 
@@ -165,11 +165,12 @@ def robust_graph(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> l
 def _pruned(x: np.ndarray, i: int, near: np.ndarray, degree: int, alpha: float) -> np.ndarray:
     """At most `degree` of the neighbours of i, given nearest first, by the robust rule."""
     away = np.sqrt(np.maximum(0, 2 - 2 * (x[near] @ x[i])))
+    covers = alpha * np.sqrt(np.maximum(0, 2 - 2 * (x[near] @ x[near].T))) <= away
     kept, live = [], np.ones(len(near), bool)
     while live.any() and len(kept) < degree:
         first = int(live.argmax())
         kept.append(first)
-        live &= alpha * np.sqrt(np.maximum(0, 2 - 2 * (x[near] @ x[near[first]]))) > away
+        live &= ~covers[first]
         live[first] = False
     return near[kept]
 
